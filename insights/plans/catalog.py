@@ -11,7 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+import datetime as dt
+
 from ..operators import basket as B
+from ..operators import loyalty as L
 from ..sources.views import Views
 from . import report as R
 
@@ -48,3 +51,21 @@ for _k in R.PRODUCT_TABLES:
     _reg(f"monthly_product_report_{_k}",
          lambda v, k=_k: R.monthly_product_report(v.v_sales, v.v_product, REPORT_YEAR, REPORT_MONTH)[k])
 _reg("flatten_hierarchy", lambda v: B.flatten_hierarchy(v.v_hierarchy))
+
+
+# ---- case 1 ----------------------------------------------------------------------------------
+BONUS_IDS = (1,)
+POINTS_END = dt.date(1996, 1, 31)
+_reg("spend_per_customer", lambda v: L.spend_per_customer(v.v_sales, v.v_product))
+_reg("visit_days", lambda v: L.visit_days(v.v_sales))
+_reg("first_purchase_items", lambda v: L.first_purchase_items(v.v_sales, v.v_product))
+_reg("most_purchased_item", lambda v: L.most_purchased_item(v.v_sales, v.v_product))
+_reg("favourite_item_per_customer", lambda v: L.favourite_item_per_customer(v.v_sales, v.v_product))
+_reg("first_item_after_join", lambda v: L.first_item_after_join(v.v_sales, v.v_product, v.v_members))
+_reg("last_item_before_join", lambda v: L.last_item_before_join(v.v_sales, v.v_product, v.v_members))
+_reg("pre_join_totals", lambda v: L.pre_join_totals(v.v_sales, v.v_product, v.v_members))
+_reg("loyalty_points", lambda v: L.loyalty_points(v.v_sales, v.v_product, BONUS_IDS))
+_reg("loyalty_points_first_week",
+     lambda v: L.loyalty_points_first_week(v.v_sales, v.v_product, v.v_members, POINTS_END, None, BONUS_IDS))
+_reg("joined_sales_flag", lambda v: L.joined_sales_flag(v.v_sales, v.v_product, v.v_members))
+_reg("member_ranked_sales", lambda v: L.member_ranked_sales(v.v_sales, v.v_product, v.v_members))
