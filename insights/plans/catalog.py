@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 import datetime as dt
 
 from ..operators import basket as B
+from ..operators import delivery as D
 from ..operators import loyalty as L
 from ..sources.views import Views
 from . import report as R
@@ -69,3 +70,37 @@ _reg("loyalty_points_first_week",
      lambda v: L.loyalty_points_first_week(v.v_sales, v.v_product, v.v_members, POINTS_END, None, BONUS_IDS))
 _reg("joined_sales_flag", lambda v: L.joined_sales_flag(v.v_sales, v.v_product, v.v_members))
 _reg("member_ranked_sales", lambda v: L.member_ranked_sales(v.v_sales, v.v_product, v.v_members))
+
+
+# ---- case 2 ----------------------------------------------------------------------------------
+# standard_ingredients and menu_extension read only the fixed recipe/topping
+# dimensions, so they are library functions (tested in tests/) and not registered.
+_reg("items_ordered", lambda v: D.items_ordered(v.v_items_messy))
+_reg("unique_customers_ordering", lambda v: D.unique_customers_ordering(v.v_items_messy))
+_reg("delivered_per_runner", lambda v: D.delivered_per_runner(v.v_orders_messy))
+_reg("delivered_by_type", lambda v: D.delivered_by_type(v.v_items_messy, v.v_orders_messy, v.v_recipes))
+_reg("type_counts_per_customer", lambda v: D.type_counts_per_customer(v.v_items_messy, v.v_recipes))
+_reg("largest_delivered_orders", lambda v: D.largest_delivered_orders(v.v_items_messy, v.v_orders_messy))
+_reg("changed_vs_unchanged_per_customer",
+     lambda v: D.changed_vs_unchanged_per_customer(v.v_items_messy, v.v_orders_messy))
+_reg("items_with_both_changes", lambda v: D.items_with_both_changes(v.v_items_messy, v.v_orders_messy))
+_reg("volume_by_date_hour", lambda v: D.volume_by_date_hour(v.v_items_messy))
+_reg("volume_by_weekday", lambda v: D.volume_by_weekday(v.v_items_messy))
+_reg("top_extra", lambda v: D.top_extra(v.v_items_messy, v.v_toppings))
+_reg("top_exclusion", lambda v: D.top_exclusion(v.v_items_messy, v.v_toppings))
+_reg("order_item_label", lambda v: D.order_item_label(v.v_items_messy, v.v_recipes, v.v_toppings))
+_reg("ingredient_list_2x", lambda v: D.ingredient_list_2x(v.v_items_messy, v.v_recipes, v.v_toppings))
+_reg("ingredient_usage",
+     lambda v: D.ingredient_usage(v.v_items_messy, v.v_orders_messy, v.v_recipes, v.v_toppings))
+_reg("weekly_signups", lambda v: D.weekly_signups(v.v_runners))
+_reg("pickup_minutes", lambda v: D.pickup_minutes(v.v_orders_messy))
+_reg("prep_time_vs_size", lambda v: D.prep_time_vs_size(v.v_items_messy, v.v_orders_messy))
+_reg("avg_distance_per_customer", lambda v: D.avg_distance_per_customer(v.v_orders_messy))
+_reg("delivery_time_range", lambda v: D.delivery_time_range(v.v_orders_messy))
+_reg("delivery_speed", lambda v: D.delivery_speed(v.v_orders_messy))
+_reg("delivery_success_pct", lambda v: D.delivery_success_pct(v.v_orders_messy))
+_reg("revenue_fixed_price", lambda v: D.revenue_fixed_price(v.v_items_messy, v.v_orders_messy, v.v_recipes))
+_reg("revenue_with_extras", lambda v: D.revenue_with_extras(v.v_items_messy, v.v_orders_messy, v.v_recipes))
+_reg("net_profit_after_distance",
+     lambda v: D.net_profit_after_distance(v.v_items_messy, v.v_orders_messy, v.v_recipes))
+_reg("ratings_quality_report", lambda v: D.ratings_quality_report(v.v_ratings, v.v_orders_messy, v.t.customer))
