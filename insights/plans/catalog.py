@@ -16,6 +16,7 @@ import datetime as dt
 from ..operators import basket as B
 from ..operators import delivery as D
 from ..operators import loyalty as L
+from ..operators import subscription as S
 from ..sources.views import Views
 from . import report as R
 
@@ -104,3 +105,24 @@ _reg("revenue_with_extras", lambda v: D.revenue_with_extras(v.v_items_messy, v.v
 _reg("net_profit_after_distance",
      lambda v: D.net_profit_after_distance(v.v_items_messy, v.v_orders_messy, v.v_recipes))
 _reg("ratings_quality_report", lambda v: D.ratings_quality_report(v.v_ratings, v.v_orders_messy, v.t.customer))
+
+
+# ---- case 3 ----------------------------------------------------------------------------------
+JOURNEY_CUSTOMERS = (1, 2, 11, 13, 15, 16, 18, 19)
+EVENTS_SINCE = dt.date(2000, 1, 1)
+MIX_AT = dt.date(1996, 12, 31)
+PLAN_YEAR = 1997
+_reg("customer_journeys", lambda v: S.customer_journeys(v.v_plan_events, JOURNEY_CUSTOMERS))
+_reg("total_customers", lambda v: S.total_customers(v.v_plan_events))
+_reg("trials_per_month", lambda v: S.trials_per_month(v.v_plan_events))
+_reg("plan_events_after", lambda v: S.plan_events_after(v.v_plan_events, EVENTS_SINCE))
+_reg("churn_rate", lambda v: S.churn_rate(v.v_plan_events))
+_reg("churn_after_trial", lambda v: S.churn_after_trial(v.v_plan_events))
+_reg("plan_after_trial", lambda v: S.plan_after_trial(v.v_plan_events))
+_reg("plan_mix_at_date", lambda v: S.plan_mix_at_date(v.v_plan_events, MIX_AT))
+_reg("annual_upgrades_in_year", lambda v: S.annual_upgrades_in_year(v.v_plan_events, PLAN_YEAR))
+_reg("avg_days_to_annual", lambda v: S.avg_days_to_annual(v.v_plan_events))
+_reg("days_to_annual_buckets", lambda v: S.days_to_annual_buckets(v.v_plan_events))
+_reg("downgrades_in_year", lambda v: S.downgrades_in_year(v.v_plan_events, PLAN_YEAR))
+_reg("monthly_recurring_revenue", lambda v: S.monthly_recurring_revenue(v.v_plan_events))
+_reg("mrr_growth_rate", lambda v: S.mrr_growth_rate(v.v_plan_events))
