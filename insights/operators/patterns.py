@@ -84,3 +84,37 @@ def scalar(df: DataFrame, expr: Column, name: str) -> DataFrame:
 def first_per_key(df: DataFrame, key, order: Sequence[Column], ties: bool = False) -> DataFrame:
     """First row(s) per key by ``order`` (``ties`` keeps all rows equal on it)."""
     return top_k_per_group(df, key, order, 1, ties)
+
+
+def calendar(df: DataFrame, date_col: str, grain: str = "day", name: str = "period") -> DataFrame:
+    """Every day (or month start) between the min and max of ``date_col``.
+
+    One aggregate row exploded with ``sequence``: its size is the length of the
+    date span (days or months), independent of the number of rows.
+    """
+    d = F.col(date_col).cast("date")
+    if grain == "month":
+        lo, hi, step = F.trunc(F.min(d), "month"), F.trunc(F.max(d), "month"), F.expr("interval 1 month")
+    else:
+        lo, hi, step = F.min(d), F.max(d), F.expr("interval 1 day")
+    return df.agg(F.explode(F.sequence(lo, hi, step)).alias(name))
+
+
+def dense_running_total(df: DataFrame, key: str, date_col: str, value: Column, grain: str = "day",
+                        period: str = "period", out: str = "running_total") -> DataFrame:
+    """Running total of ``value`` per key over EVERY period of the data's span.
+
+    Grid = distinct keys × broadcast calendar.  The grid (value 0) and the
+    per-(key, period) flows are unioned, partitioned once by key, summed per
+    period and accumulated with a window whose partition is one key's periods
+    (bounded by the calendar length).
+    """
+    p = F.trunc(F.col(date_col).cast("date"), "month") if grain == "month" else F.col(date_col).cast("date")
+    flows = df.groupBy(key, p.alias(period)).agg(F.sum(value).alias("__v"))
+    cal = calendar(df, date_col, grain, period)
+    grid = flows.select(key).distinct().crossJoin(F.broadcast(cal)) \
+        .select(key, period, F.lit(0).cast(flows.schema["__v"].dataType).alias("__v"))
+    w = Window.partitionBy(key).orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
+    return (grid.unionByName(flows).repartition(key)
+            .groupBy(key, period).agg(F.sum("__v").alias("__v"))
+            .select(key, period, F.sum("__v").over(w).alias(out)))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 import datetime as dt
 
+from ..operators import balances as K
 from ..operators import basket as B
 from ..operators import delivery as D
 from ..operators import loyalty as L
@@ -126,3 +127,22 @@ _reg("days_to_annual_buckets", lambda v: S.days_to_annual_buckets(v.v_plan_event
 _reg("downgrades_in_year", lambda v: S.downgrades_in_year(v.v_plan_events, PLAN_YEAR))
 _reg("monthly_recurring_revenue", lambda v: S.monthly_recurring_revenue(v.v_plan_events))
 _reg("mrr_growth_rate", lambda v: S.mrr_growth_rate(v.v_plan_events))
+
+
+# ---- case 4 ----------------------------------------------------------------------------------
+_reg("unique_nodes", lambda v: K.unique_nodes(v.v_node_stays))
+_reg("nodes_per_region", lambda v: K.nodes_per_region(v.v_node_stays, v.v_regions))
+_reg("customers_per_region", lambda v: K.customers_per_region(v.v_node_stays, v.v_regions))
+_reg("avg_stay_days", lambda v: K.avg_stay_days(v.v_node_stays))
+_reg("stay_percentiles_by_region", lambda v: K.stay_percentiles_by_region(v.v_node_stays, v.v_regions))
+_reg("txn_type_totals", lambda v: K.txn_type_totals(v.v_txns_monthly))
+_reg("avg_deposits", lambda v: K.avg_deposits(v.v_txns_monthly))
+_reg("active_customers_per_month", lambda v: K.active_customers_per_month(v.v_txns_monthly))
+_reg("monthly_closing_balance", lambda v: K.monthly_closing_balance(v.v_txns_monthly))
+_reg("pct_balance_growth", lambda v: K.pct_balance_growth(v.v_txns_monthly))
+_reg("daily_running_balance", lambda v: K.daily_running_balance(v.v_txns_daily))
+_reg("monthly_balance_dense", lambda v: K.monthly_balance_dense(v.v_txns_monthly))
+_reg("balance_stats", lambda v: K.balance_stats(v.v_txns_daily))
+_reg("allocation_prev_month", lambda v: K.allocation_prev_month(v.v_txns_monthly))
+_reg("allocation_avg_30d", lambda v: K.allocation_avg_30d(v.v_txns_daily))
+_reg("allocation_realtime", lambda v: K.allocation_realtime(v.v_txns_daily))
