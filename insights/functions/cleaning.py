@@ -50,7 +50,7 @@ def csv_int_array(c: Column | str) -> Column:
 
 def parse_date(c: Column | str, fmt: str) -> Column:
     """Text → date with a Spark datetime pattern; bad text gives NULL."""
-    return F.try_to_date(_col(c), F.lit(fmt))
+    return F.try_to_date(_col(c), fmt)
 
 
 def dow_sunday0(d: Column | str) -> Column:
@@ -75,3 +75,17 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
 def pct(num: Column, den: Column, digits: int = 2) -> Column:
     """``round(100 * num / den, digits)`` computed in double, NULL on 0."""
     return F.round(F.lit(100.0) * num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)), digits)
+
+
+# Fixed value: two-digit years 69-99 mean 19xx, 00-68 mean 20xx (POSIX strptime rule).
+TWO_DIGIT_YEAR_PIVOT = 69
+
+
+def parse_short_date(c: Column | str, fmt: str = "d/M/yy") -> Column:
+    """Text date with a two-digit year → date, using the POSIX century pivot.
+
+    Spark's ``yy`` always lands in 2000-2099; years at or above 20``PIVOT``
+    are moved back one century.
+    """
+    d = parse_date(c, fmt)
+    return F.when(F.year(d) >= 2000 + TWO_DIGIT_YEAR_PIVOT, F.add_months(d, -1200)).otherwise(d)

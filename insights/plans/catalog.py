@@ -16,6 +16,7 @@ import datetime as dt
 from ..operators import balances as K
 from ..operators import basket as B
 from ..operators import delivery as D
+from ..operators import impact as I
 from ..operators import loyalty as L
 from ..operators import subscription as S
 from ..sources.views import Views
@@ -146,3 +147,36 @@ _reg("balance_stats", lambda v: K.balance_stats(v.v_txns_daily))
 _reg("allocation_prev_month", lambda v: K.allocation_prev_month(v.v_txns_monthly))
 _reg("allocation_avg_30d", lambda v: K.allocation_avg_30d(v.v_txns_daily))
 _reg("allocation_realtime", lambda v: K.allocation_realtime(v.v_txns_daily))
+
+
+# ---- case 5 ----------------------------------------------------------------------------------
+EVENT_WEEK = dt.date(1997, 6, 16)
+# one (year, platform, segment, customer type) slice, so that some weeks are missing
+MISSING_WEEKS_SLICE = {"calendar_year": 1997, "platform": "Shopify", "segment": "C1", "customer_type": "BUILDING"}
+
+
+def _clean(v):
+    return I.clean_weekly_sales(v.v_weekly_raw)
+
+
+def _slice(df, cond):
+    from pyspark.sql import functions as F
+    for c, x in cond.items():
+        df = df.filter(F.col(c) == x)
+    return df
+
+
+_reg("clean_weekly_sales", _clean)
+_reg("weekdays_used", lambda v: I.weekdays_used(_clean(v)))
+_reg("missing_weeks", lambda v: I.missing_weeks(_slice(_clean(v), MISSING_WEEKS_SLICE)))
+_reg("transactions_per_year", lambda v: I.transactions_per_year(_clean(v)))
+_reg("sales_by_region_month", lambda v: I.sales_by_region_month(_clean(v)))
+_reg("transactions_by_platform", lambda v: I.transactions_by_platform(_clean(v)))
+_reg("platform_share", lambda v: I.platform_share(_clean(v)))
+_reg("demographic_share_by_year", lambda v: I.demographic_share_by_year(_clean(v)))
+_reg("retail_contribution", lambda v: I.retail_contribution(_clean(v)))
+_reg("avg_transaction_size", lambda v: I.avg_transaction_size(_clean(v)))
+_reg("before_after", lambda v: I.before_after(_clean(v), EVENT_WEEK, 4))
+_reg("before_after_12w", lambda v: I.before_after(_clean(v), EVENT_WEEK, 12))
+_reg("before_after_by_year", lambda v: I.before_after_by_year(_clean(v), EVENT_WEEK, 4))
+_reg("impact_by_dimension", lambda v: I.impact_by_dimension(_clean(v), EVENT_WEEK, 12))
