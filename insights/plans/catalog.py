@@ -16,6 +16,7 @@ import datetime as dt
 from ..operators import balances as K
 from ..operators import basket as B
 from ..operators import delivery as D
+from ..operators import funnel as FN
 from ..operators import impact as I
 from ..operators import loyalty as L
 from ..operators import subscription as S
@@ -180,3 +181,32 @@ _reg("before_after", lambda v: I.before_after(_clean(v), EVENT_WEEK, 4))
 _reg("before_after_12w", lambda v: I.before_after(_clean(v), EVENT_WEEK, 12))
 _reg("before_after_by_year", lambda v: I.before_after_by_year(_clean(v), EVENT_WEEK, 4))
 _reg("impact_by_dimension", lambda v: I.impact_by_dimension(_clean(v), EVENT_WEEK, 12))
+
+
+# ---- case 6 ----------------------------------------------------------------------------------
+def _funnel(v):
+    return FN.product_funnel(v.v_clicks, v.v_pages)
+
+
+def _visits(v):
+    return FN.visit_summary(v.v_clicks, v.v_pages, v.v_users, v.v_campaigns)
+
+
+_reg("total_users", lambda v: FN.total_users(v.v_users))
+_reg("avg_cookies_per_user", lambda v: FN.avg_cookies_per_user(v.v_users))
+_reg("visits_per_month", lambda v: FN.visits_per_month(v.v_clicks))
+_reg("events_per_type", lambda v: FN.events_per_type(v.v_clicks, v.v_event_identifier))
+_reg("purchase_visit_pct", lambda v: FN.purchase_visit_pct(v.v_clicks))
+_reg("checkout_abandonment_pct", lambda v: FN.checkout_abandonment_pct(v.v_clicks))
+_reg("top_pages", lambda v: FN.top_pages(v.v_clicks, v.v_pages))
+_reg("category_views_cart", lambda v: FN.category_views_cart(v.v_clicks, v.v_pages))
+_reg("top_products_purchased", lambda v: FN.top_products_purchased(v.v_clicks, v.v_pages))
+_reg("product_funnel", _funnel)
+_reg("category_funnel", lambda v: FN.category_funnel(_funnel(v)))
+_reg("funnel_leaders", lambda v: FN.funnel_leaders(_funnel(v)))
+_reg("most_abandoned_product", lambda v: FN.most_abandoned_product(_funnel(v)))
+_reg("best_view_to_purchase", lambda v: FN.best_view_to_purchase(_funnel(v)))
+_reg("avg_view_to_cart", lambda v: FN.avg_view_to_cart(_funnel(v)))
+_reg("avg_cart_to_purchase", lambda v: FN.avg_cart_to_purchase(_funnel(v)))
+_reg("visit_summary", _visits)
+_reg("campaign_uplift", lambda v: FN.campaign_uplift(_visits(v)))
