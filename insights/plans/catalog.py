@@ -19,6 +19,7 @@ from ..operators import delivery as D
 from ..operators import funnel as FN
 from ..operators import impact as I
 from ..operators import loyalty as L
+from ..operators import segments as G
 from ..operators import subscription as S
 from ..sources.views import Views
 from . import report as R
@@ -210,3 +211,40 @@ _reg("avg_view_to_cart", lambda v: FN.avg_view_to_cart(_funnel(v)))
 _reg("avg_cart_to_purchase", lambda v: FN.avg_cart_to_purchase(_funnel(v)))
 _reg("visit_summary", _visits)
 _reg("campaign_uplift", lambda v: FN.campaign_uplift(_visits(v)))
+
+
+# ---- case 8 ----------------------------------------------------------------------------------
+INTEREST_ID = 11
+ROLLING_FROM, ROLLING_TO = dt.date(1997, 1, 1), dt.date(1997, 12, 1)
+
+
+def _typed(v):
+    return G.month_year_to_date(v.v_interest)
+
+
+def _filtered(v):
+    return G.drop_null_months(_typed(v))
+
+
+_reg("month_year_to_date", _typed)
+_reg("records_per_month", lambda v: G.records_per_month(_typed(v)))
+_reg("drop_null_months", _filtered)
+_reg("ids_missing_in_map", lambda v: G.ids_missing_in_map(_filtered(v), v.v_interest_map))
+_reg("ids_missing_in_metrics", lambda v: G.ids_missing_in_metrics(_filtered(v), v.v_interest_map))
+_reg("map_duplicate_check", lambda v: G.map_duplicate_check(v.v_interest_map))
+_reg("joined_interest_rows", lambda v: G.joined_interest_rows(_filtered(v), v.v_interest_map, INTEREST_ID))
+_reg("records_before_creation", lambda v: G.records_before_creation(_filtered(v), v.v_interest_map))
+_reg("interests_in_all_months", lambda v: G.interests_in_all_months(_filtered(v), v.v_interest_map))
+_reg("cumulative_pct_by_months", lambda v: G.cumulative_pct_by_months(_filtered(v)))
+_reg("rows_removed_below_threshold", lambda v: G.rows_removed_below_threshold(_filtered(v)))
+_reg("unique_interests_per_month", lambda v: G.unique_interests_per_month(_filtered(v)))
+_reg("top_bottom_composition", lambda v: G.top_bottom_composition(_filtered(v), v.v_interest_map))
+_reg("lowest_avg_ranking", lambda v: G.lowest_avg_ranking(_filtered(v), v.v_interest_map))
+_reg("most_volatile_interests", lambda v: G.most_volatile_interests(_filtered(v), v.v_interest_map))
+_reg("volatile_extremes", lambda v: G.volatile_extremes(_filtered(v), v.v_interest_map))
+_reg("top10_avg_composition_per_month", lambda v: G.top10_avg_composition_per_month(_filtered(v), v.v_interest_map))
+_reg("top10_appearances", lambda v: G.top10_appearances(_filtered(v), v.v_interest_map))
+_reg("avg_of_top10_per_month", lambda v: G.avg_of_top10_per_month(_filtered(v), v.v_interest_map))
+_reg("rolling_max_composition",
+     lambda v: G.rolling_max_composition(_filtered(v), v.v_interest_map, ROLLING_FROM, ROLLING_TO))
+_reg("qualified_interests", lambda v: G.qualified_interests(_filtered(v)))
