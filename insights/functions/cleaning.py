@@ -43,9 +43,9 @@ def csv_int_array(c: Column | str) -> Column:
     Items that are not integers are dropped rather than raising.
     """
     cleaned = clean_null(c)
-    items = F.transform(F.split(F.coalesce(cleaned, F.lit("")), ","),
-                        lambda x: F.trim(x).try_cast("int"))
-    return F.filter(items, lambda x: x.isNotNull())
+    # split + array cast stays in generated code; a per-element lambda here is ~10x slower
+    items = F.split(cleaned, r"\s*,\s*").try_cast("array<int>")
+    return F.when(cleaned.isNull(), F.array().cast("array<int>")).otherwise(F.array_compact(items))
 
 
 def parse_date(c: Column | str, fmt: str) -> Column:

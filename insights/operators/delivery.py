@@ -43,8 +43,12 @@ def topping_map(toppings: DataFrame) -> DataFrame:
 
 
 def _names(ids: Column) -> Column:
-    """Topping ids → their names sorted alphabetically (unknown ids dropped)."""
-    return F.array_sort(F.filter(F.transform(ids, lambda x: F.col("tmap")[x]), lambda n: n.isNotNull()))
+    """Topping ids → their names sorted alphabetically.
+
+    Unknown ids give NULL names, which ``array_sort`` puts last and
+    ``array_join`` skips.
+    """
+    return F.array_sort(F.transform(ids, lambda x: F.col("tmap")[x]))
 
 
 # ---- pizza metrics -------------------------------------------------------------------------
@@ -142,37 +146,49 @@ def order_item_label(items: DataFrame, recipes: DataFrame, toppings: DataFrame,
     names = recipes.select("pizza_id", "pizza_name")
     if pizza_name is not None:
         names = names.filter(F.col("pizza_name") == pizza_name)
-    excl, extra = _names(csv_int_array("exclusions")), _names(csv_int_array("extras"))
     part = lambda label, arr: F.when(F.size(arr) > 0, F.concat(F.lit(label), F.array_join(arr, ", "))) \
         .otherwise(F.lit(""))
-    return (items.join(F.broadcast(names), "pizza_id").crossJoin(topping_map(toppings))
-            .select("order_id", "item_no",
-                    F.concat(F.col("pizza_name"), part(" - Exclude ", excl), part(" - Extra ", extra))
-                    .alias("order_item")))
+    arrs = _parsed(items.join(F.broadcast(names), "pizza_id"), excl_ids="exclusions", extra_ids="extras") \
+        .select("order_id", "item_no", "pizza_name", "excl_ids", "extra_ids")
+    named = arrs.crossJoin(topping_map(toppings)).select(
+        "order_id", "item_no", "pizza_name",
+        _names(F.col("excl_ids")).alias("excl"), _names(F.col("extra_ids")).alias("extra"))
+    return named.select("order_id", "item_no",
+                        F.concat(F.col("pizza_name"), part(" - Exclude ", F.col("excl")),
+                                 part(" - Extra ", F.col("extra"))).alias("order_item"))
+
+
+def _parsed(df: DataFrame, **lists: str) -> DataFrame:
+    """Parse each csv column ONCE into an ``array<int>`` column.
+
+    Later per-element lambdas refer to these columns; building the arrays
+    inline inside a lambda would re-parse the text for every element.
+    """
+    return df.select("*", *[csv_int_array(src).alias(name) for name, src in lists.items()])
 
 
 def ingredient_list_2x(items: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """'Name: a, 2xb, c' per item: (recipe − exclusions) ∪ extras, sorted by name;
     '2x' marks an extra that is also still in the recipe."""
-    base = csv_int_array("toppings")
-    kept = F.array_except(base, csv_int_array("exclusions"))
-    extra = csv_int_array("extras")
-    ids = F.array_union(kept, extra)
-    entries = F.transform(ids, lambda x: F.struct(
-        F.col("tmap")[x].alias("name"),
-        F.when(F.array_contains(kept, x) & F.array_contains(extra, x), F.lit("2x")).otherwise(F.lit(""))
-        .alias("prefix")))
-    labels = F.transform(F.array_sort(F.filter(entries, lambda e: e["name"].isNotNull())),
-                         lambda e: F.concat(e["prefix"], e["name"]))
-    return (items.join(F.broadcast(recipes), "pizza_id").crossJoin(topping_map(toppings))
-            .select("order_id", "item_no",
-                    F.concat(F.col("pizza_name"), F.lit(": "), F.array_join(labels, ", ")).alias("ingredient_list")))
+    arrs = _parsed(items.join(F.broadcast(_parsed(recipes, base_ids="toppings")), "pizza_id"),
+                   excl_ids="exclusions", extra_ids="extras")
+    kept = arrs.select("order_id", "item_no", "pizza_name", "extra_ids",
+                       F.array_except("base_ids", "excl_ids").alias("kept_ids"))
+    named = (kept.crossJoin(topping_map(toppings))
+             .select("order_id", "item_no", "pizza_name",
+                     _names(F.array_union("kept_ids", "extra_ids")).alias("names"),
+                     _names(F.array_intersect("kept_ids", "extra_ids")).alias("doubled")))
+    marked = F.when(F.size("doubled") == 0, F.col("names")).otherwise(F.transform(
+        "names", lambda n: F.when(F.array_contains(F.col("doubled"), n), F.concat(F.lit("2x"), n)).otherwise(n)))
+    return named.select("order_id", "item_no",
+                        F.concat(F.col("pizza_name"), F.lit(": "), F.array_join(marked, ", ")).alias("ingredient_list"))
 
 
 def ingredient_usage(items: DataFrame, orders: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """Quantity of each ingredient over delivered items: (recipe − exclusions) + extras."""
-    d = _delivered_items(items, orders).join(F.broadcast(recipes), "pizza_id")
-    used = F.concat(F.array_except(csv_int_array("toppings"), csv_int_array("exclusions")), csv_int_array("extras"))
+    d = _parsed(_delivered_items(items, orders).join(F.broadcast(_parsed(recipes, base_ids="toppings")), "pizza_id"),
+                excl_ids="exclusions", extra_ids="extras")
+    used = F.concat(F.array_except("base_ids", "excl_ids"), F.col("extra_ids"))
     counts = d.select(F.explode(used).alias("topping_id")).groupBy("topping_id") \
         .agg(F.count(F.lit(1)).alias("total_used"))
     return counts.join(F.broadcast(toppings), "topping_id").select("topping_name", "total_used")
@@ -232,7 +248,8 @@ PRICES = {"Meatlovers": 12, "Vegetarian": 10}
 
 
 def _price_table(spark, prices: Mapping[str, int]) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(list(prices.items()), "pizza_name string, pizza_price int"))
+    from ..sources.views import literal_table
+    return F.broadcast(literal_table(spark, list(prices.items()), "pizza_name string, pizza_price int"))
 
 
 def _priced_delivered(items, orders, recipes, prices):

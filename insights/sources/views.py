@@ -51,6 +51,17 @@ CAMPAIGNS = [
 OPEN_END = "9999-12-31"
 
 
+def literal_table(spark, rows, schema: str) -> DataFrame:
+    """A small fixed table built JVM-side (``inline`` of a literal array).
+
+    Unlike ``createDataFrame`` on Python rows it needs no Python worker at
+    execution time, and Catalyst sees its exact (tiny) size.
+    """
+    fields = [f.strip().split() for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _money(c):
     return F.col(c).cast(MONEY) if isinstance(c, str) else c.cast(MONEY)
 
@@ -148,11 +159,11 @@ class Views:
 
     @cached_property
     def v_recipes(self) -> DataFrame:
-        return self.spark.createDataFrame(RECIPES, "pizza_id int, pizza_name string, toppings string")
+        return literal_table(self.spark, RECIPES, "pizza_id int, pizza_name string, toppings string")
 
     @cached_property
     def v_toppings(self) -> DataFrame:
-        return self.spark.createDataFrame(TOPPINGS, "topping_id int, topping_name string")
+        return literal_table(self.spark, TOPPINGS, "topping_id int, topping_name string")
 
     @cached_property
     def v_runners(self) -> DataFrame:
@@ -264,18 +275,18 @@ class Views:
 
     @cached_property
     def v_pages(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            PAGES, "page_id int, page_name string, product_category string, product_id int")
+        return literal_table(self.spark, PAGES,
+                             "page_id int, page_name string, product_category string, product_id int")
 
     @cached_property
     def v_event_identifier(self) -> DataFrame:
-        return self.spark.createDataFrame(EVENT_TYPES, "event_type int, event_name string")
+        return literal_table(self.spark, EVENT_TYPES, "event_type int, event_name string")
 
     @cached_property
     def v_campaigns(self) -> DataFrame:
-        return (self.spark.createDataFrame(
-            CAMPAIGNS, "campaign_id int, products string, campaign_name string, s string, e string")
-            .select("campaign_id", "products", "campaign_name",
+        return (literal_table(self.spark, CAMPAIGNS,
+                              "campaign_id int, products string, campaign_name string, s string, e string")
+                .select("campaign_id", "products", "campaign_name",
                     F.to_timestamp_ntz(F.col("s")).alias("start_date"),
                     F.to_timestamp_ntz(F.col("e")).alias("end_date")))
 
