@@ -102,3 +102,12 @@ def monthly_report(sales: DataFrame, product: DataFrame, year: int, month: int)
            "transaction_analysis": monthly_txn_report(sales, year, month)}
     out.update({f"product_analysis_{k}": v for k, v in monthly_product_report(sales, product, year, month).items()})
     return out
+
+
+def run_monthly_report(sales: DataFrame, product: DataFrame, year: int, month: int, out_root: str) -> None:
+    """The whole monthly report job: the month's sales are filtered once and
+    materialised (12 outputs read them), then every table is written under
+    ``out_root/<table>`` — replacing the previous run's tables."""
+    from .sinks import materialize, write_tables
+    month_sales = materialize(sales_in_month(sales, year, month), f"sales_{year}_{month:02d}")
+    write_tables(monthly_report(month_sales, product, year, month), out_root)

@@ -78,6 +78,14 @@ class Views:
         self.t = tables
         self.spark = tables.spark
 
+    def materialize(self, *names: str) -> "Views":
+        """Write the named views once to the shared checkpoint folder and use
+        the files from then on (for pipelines that read a view many times)."""
+        from ..plans.sinks import materialize
+        for n in names:
+            self.__dict__[n] = materialize(getattr(self, n), n)
+        return self
+
     # ---- case 1 and 7: sales, products, members ---------------------------------------
     @cached_property
     def v_sales(self) -> DataFrame:
