@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import avg_exact, money, pct, round_double
-from .patterns import share_of_total, top_k, top_k_per_group
+from .patterns import exact_quantiles, share_of_total, top_k, top_k_per_group
 
 def _cent():
     return F.lit(Decimal("0.01"))
@@ -70,19 +70,20 @@ def txn_revenue_percentiles(sales: DataFrame, approx: bool = False) -> DataFrame
     ``approx=True`` switches to ``percentile_approx`` for very large inputs.
     """
     per_txn = sales.groupBy("txn_id").agg(F.sum(net()).alias("r"))
-    return per_txn.agg(*[round_double(exact_percentile(F.col("r"), p, approx)).alias(n)
-                         for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return revenue_quartiles(per_txn, "r", approx)
 
 
-def exact_percentile(value, p: float, approx: bool = False, scale: int = 10000):
-    """``percentile_cont(p)`` of an exact decimal column.
+QUARTILES = ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
 
-    Interpolates over the value scaled to an integer, so the result is exact
-    (and equal in every engine) before it is scaled back.
-    """
+
+def revenue_quartiles(per_txn: DataFrame, col: str, approx: bool = False, scale: int = 10000) -> DataFrame:
+    """p25/p50/p75 of an exact money column, rounded to cents (one row)."""
     if approx:
-        return F.percentile_approx(value.cast("double"), p, 100000)
-    return F.percentile((value * scale).cast("bigint"), p) / F.lit(float(scale))
+        return per_txn.agg(*[round_double(F.percentile_approx(F.col(col).cast("double"), p, 100000)).alias(n)
+                             for p, n in QUARTILES])
+    scaled = per_txn.select((F.col(col) * scale).cast("bigint").alias("s"))
+    q = exact_quantiles(scaled, "s", [p for p, _ in QUARTILES], [n for _, n in QUARTILES])
+    return q.select(*[round_double(F.col(n) / F.lit(float(scale))).alias(n) for _, n in QUARTILES])
 
 
 def avg_discount_per_txn(sales: DataFrame) -> DataFrame:

@@ -118,3 +118,79 @@ def dense_running_total(df: DataFrame, key: str, date_col: str, value: Column, g
     return (grid.unionByName(flows).repartition(key)
             .groupBy(key, period).agg(F.sum("__v").alias("__v"))
             .select(key, period, F.sum("__v").over(w).alias(out)))
+
+
+_LOCAL_BITS = 33  # monotonically_increasing_id(): partition id above bit 33, row index below
+
+
+def exact_quantiles(values: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
+                    partitions: int | None = None) -> DataFrame:
+    """Exact ``percentile_cont`` of ``col`` for several ``probs``, as one row.
+
+    Distributed: values are range-partitioned and sorted inside each
+    partition, numbered with ``monotonically_increasing_id`` and materialised
+    once in the shared checkpoint folder (stable partition ids, lineage cut).
+    Per-partition counts (one row per partition) give each partition's rank
+    offset; the ≤ 2·len(probs) rows at the target ranks are picked with a
+    broadcast join.  No task holds more than one range partition, unlike a
+    single exact-percentile aggregate whose final merge holds every distinct
+    value.  ``col`` should be exact (integer-scaled) so the interpolation is
+    exact.
+
+    Without a configured ``spark.checkpoint.dir`` the plain ``percentile``
+    aggregate is used instead.
+    """
+    from ..plans.sinks import checkpoint_root, materialize
+
+    spark = values.sparkSession
+    try:
+        checkpoint_root(spark)
+    except RuntimeError:
+        return values.agg(*[F.percentile(col, p).alias(n) for p, n in zip(probs, names)])
+    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = materialize(values.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
+                           .repartitionByRange(nparts, "v").sortWithinPartitions("v")
+                           .withColumn("mid", F.monotonically_increasing_id()), "quantiles")
+    rows = numbered.select(F.shiftright("mid", _LOCAL_BITS).alias("pid"),
+                           F.col("mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("local"), "v")
+    counts = rows.groupBy("pid").agg(F.count(F.lit(1)).alias("c"))          # one row per range partition
+    offsets = counts.select("pid", "c", (F.sum("c").over(Window.orderBy("pid")) - F.col("c")).alias("off"))
+    n = counts.agg(F.sum("c").alias("n"))
+    want = n.select(F.explode(F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(p)).alias("p"))
+                                        for i, p in enumerate(probs)])).alias("t"), "n") \
+        .select("t.q", ((F.col("n") - 1) * F.col("t.p")).alias("pos")) \
+        .select("q", "pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
+    ranks = want.select(F.explode(F.array("lo", "hi")).alias("rank")).distinct()
+    located = ranks.join(F.broadcast(offsets), (F.col("rank") >= F.col("off"))
+                         & (F.col("rank") < F.col("off") + F.col("c"))) \
+        .select("rank", "pid", (F.col("rank") - F.col("off")).alias("local"))
+    picked = rows.join(F.broadcast(located), ["pid", "local"]).select("rank", F.col("v").cast("double").alias("v"))
+    lo = picked.select(F.col("rank").alias("lo"), F.col("v").alias("v_lo"))
+    hi = picked.select(F.col("rank").alias("hi"), F.col("v").alias("v_hi"))
+    vals = want.join(lo, "lo").join(hi, "hi") \
+        .select("q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))).alias("x"))
+    return vals.agg(*[F.max(F.when(F.col("q") == i, F.col("x"))).alias(nm) for i, nm in enumerate(names)])
+
+
+def global_order(df: DataFrame, order: Sequence[str], name: str = "grank",
+                 partitions: int | None = None) -> DataFrame:
+    """``df`` plus a dense 0-based global rank by ``order`` (ties by position).
+
+    Range partitioning splits even one huge key (e.g. a customer holding a
+    third of all rows) over many partitions; rows are sorted and numbered
+    inside each partition, materialised in the shared checkpoint folder (so
+    the numbering is stable), and per-partition offsets — one row per
+    partition, broadcast — turn local numbers into global ranks.
+    """
+    from ..plans.sinks import materialize
+
+    spark = df.sparkSession
+    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = materialize(df.repartitionByRange(nparts, *order).sortWithinPartitions(*order)
+                           .withColumn("__mid", F.monotonically_increasing_id()), "ordered")
+    rows = numbered.withColumn("__pid", F.shiftright("__mid", _LOCAL_BITS)) \
+        .withColumn("__local", F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+    offsets = rows.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c")) \
+        .select("__pid", (F.sum("__c").over(Window.orderBy("__pid")) - F.col("__c")).alias("__off"))
+    return rows.join(F.broadcast(offsets), "__pid") \
+        .withColumn(name, F.col("__off") + F.col("__local")).drop("__pid", "__local", "__off", "__mid")

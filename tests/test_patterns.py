@@ -58,3 +58,24 @@ def test_top_k_per_group_ties(spark):
     df = spark.createDataFrame([("a", 3), ("a", 3), ("a", 1), ("b", 2)], "g string, v int")
     got = _rows(P.top_k_per_group(df, "g", [F.col("v").desc()], 1, ties=True), ["g", "v"])
     assert got == [("a", 3), ("a", 3), ("b", 2)]
+
+
+def test_exact_quantiles_match_percentile(spark):
+    rnd = random.Random(3)
+    # skewed: a third of the rows share one value, the rest spread with duplicates
+    vals = [500 if rnd.random() < 0.33 else rnd.randint(0, 2000) for _ in range(3001)]
+    df = spark.createDataFrame([(v,) for v in vals], "s long")
+    probs, names = [0.0, 0.25, 0.5, 0.8, 0.95, 1.0], ["a", "b", "c", "d", "e", "f"]
+    got = P.exact_quantiles(df, "s", probs, names, partitions=7).collect()[0]
+    want = df.agg(*[F.percentile("s", p).alias(n) for p, n in zip(probs, names)]).collect()[0]
+    assert [got[n] for n in names] == [want[n] for n in names]
+
+
+def test_global_order_is_dense_and_sorted(spark):
+    rnd = random.Random(11)
+    data = [("hot" if rnd.random() < 0.4 else f"c{rnd.randint(0, 30)}", rnd.randint(0, 50), i) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, d int, i int")
+    got = P.global_order(df, ["k", "d", "i"], partitions=9).collect()
+    assert sorted(r.grank for r in got) == list(range(len(data)))
+    by_rank = [(r.k, r.d, r.i) for r in sorted(got, key=lambda r: r.grank)]
+    assert by_rank == sorted(data)
