@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,9 +43,21 @@ def save_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = No
 
 
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and return a DataFrame over the files."""
+    """Compute ``df`` once and return a DataFrame over the stored result.
+
+    With a shared ``spark.checkpoint.dir`` the rows are written there as
+    Parquet (lineage cut: a lost executor re-reads files).  A session without
+    one gets a disk-backed ``persist`` instead (Spark-managed blocks, forced
+    now), which still fixes the result for every later use in the session.
+    """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/insights/{name or 'tmp'}-{uuid.uuid4().hex}"
+    try:
+        root = checkpoint_root(spark)
+    except RuntimeError:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.count()
+        return kept
+    path = f"{root}/insights/{name or 'tmp'}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

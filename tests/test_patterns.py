@@ -79,3 +79,17 @@ def test_global_order_is_dense_and_sorted(spark):
     assert sorted(r.grank for r in got) == list(range(len(data)))
     by_rank = [(r.k, r.d, r.i) for r in sorted(got, key=lambda r: r.grank)]
     assert by_rank == sorted(data)
+
+
+def test_materialize_without_checkpoint_dir(spark, monkeypatch):
+    from insights.plans import sinks
+
+    def no_dir(_spark):
+        raise RuntimeError("unset")
+
+    monkeypatch.setattr(sinks, "checkpoint_root", no_dir)
+    df = spark.createDataFrame([(v,) for v in [5, 1, 9, 3, 7]], "s long")
+    q = P.exact_quantiles(df, "s", [0.5, 0.75], ["m", "u"], partitions=3).collect()[0]
+    assert (q.m, q.u) == (5.0, 7.0)
+    g = P.global_order(df, ["s"], partitions=2).collect()
+    assert sorted((r.grank, r.s) for r in g) == [(0, 1), (1, 3), (2, 5), (3, 7), (4, 9)]
