@@ -67,14 +67,8 @@ def month_start(d: Column | str) -> Column:
     return F.trunc(_col(d).cast("date"), "month")
 
 
-def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """Elapsed minutes between two timestamps, as a double."""
-    return F.timestamp_diff("SECOND", _col(start), _col(end)).cast("double") / 60.0
 
 
-def pct(num: Column, den: Column, digits: int = 2) -> Column:
-    """``round(100 * num / den, digits)`` computed in double, NULL on 0."""
-    return F.round(F.lit(100.0) * num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)), digits)
 
 
 # Fixed value: two-digit years 69-99 mean 19xx, 00-68 mean 20xx (POSIX strptime rule).

@@ -20,7 +20,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import csv_int_array, is_dirty_null, minutes_between, number_from_text
+from ..functions.cleaning import csv_int_array, is_dirty_null, number_from_text
 from ..functions.numeric import money, pct, ratio
 from .patterns import top_k, top_k_with_ties
 

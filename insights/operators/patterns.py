@@ -58,11 +58,6 @@ def top_k_with_ties(df: DataFrame, value: str, k: int, descending: bool = True)
     return df.crossJoin(F.broadcast(kth)).filter(cond).drop("__kth")
 
 
-def with_rank(df: DataFrame, value: str, out: str, descending: bool = True, group=None,
-              dense: bool = False) -> DataFrame:
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    w = Window.partitionBy(*_cols(group)).orderBy(order)
-    return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(w))
 
 
 def share_of_total(df: DataFrame, value: str, out: str, group=None, digits: int = 2) -> DataFrame:
@@ -76,14 +71,8 @@ def share_of_total(df: DataFrame, value: str, out: str, group=None, digits: int
     return joined.withColumn(out, pct(F.col(value), F.col("__tot"), digits)).drop("__tot")
 
 
-def scalar(df: DataFrame, expr: Column, name: str) -> DataFrame:
-    """One-row aggregate, for ``crossJoin(broadcast(...))`` (size bound: 1 row)."""
-    return F.broadcast(df.agg(expr.alias(name)))
 
 
-def first_per_key(df: DataFrame, key, order: Sequence[Column], ties: bool = False) -> DataFrame:
-    """First row(s) per key by ``order`` (``ties`` keeps all rows equal on it)."""
-    return top_k_per_group(df, key, order, 1, ties)
 
 
 def calendar(df: DataFrame, date_col: str, grain: str = "day", name: str = "period") -> DataFrame:

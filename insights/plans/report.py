@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import avg_exact, money, pct, round_double
+from ..functions.numeric import avg_exact, money, pct
 from ..operators import basket as B
 
 
