@@ -27,7 +27,10 @@ def month_bounds(year: int, month: int) -> tuple[dt.datetime, dt.datetime]:
 def sales_in_month(sales: DataFrame, year: int, month: int) -> DataFrame:
     lo, hi = month_bounds(year, month)
     ts = F.col("start_txn_time")
-    return sales.filter((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
+    # wall-clock literals: independent of the session time zone
+    lo_ts = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
+    hi_ts = F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
+    return sales.filter((ts >= lo_ts) & (ts < hi_ts))
 
 
 def monthly_sales_report(sales: DataFrame, year: int, month: int) -> DataFrame:
