@@ -1,7 +1,7 @@
 """Case 6 — clickstream: digital analysis, product funnel, campaign visits.
 
 Inputs: ``events`` (visit_id, cookie_id, page_id, event_type, event_time,
-sequence_number), ``pages`` (page_id, page_name, product_category,
+event_id, sequence_number), ``pages`` (page_id, page_name, product_category,
 product_id), ``event_types`` (event_type, event_name), ``campaigns``
 (campaign_id, products, campaign_name, start_date, end_date), ``users``
 (user_id, cookie_id, start_date).
@@ -148,7 +148,9 @@ def visit_summary(events: DataFrame, pages: DataFrame, users: DataFrame, campaig
     campaign window (range join against the broadcast campaign table).
     """
     names = F.broadcast(pages.select("page_id", "page_name"))
-    cart_item = F.when(_is(CART_ADD), F.struct("sequence_number", "page_name"))
+    # (event_time, event_id) is the visit's event order; sorting by it instead of the
+    # per-visit row number lets Catalyst drop that window over raw events entirely
+    cart_item = F.when(_is(CART_ADD), F.struct("event_time", "event_id", "page_name"))
     v = (events.join(names, "page_id")
          .groupBy("visit_id")
          .agg(F.min("cookie_id").alias("cookie_id"),

@@ -116,7 +116,7 @@ VIEW_SQL: dict[str, str] = {
                CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 13 + 1 AS page_id,
                CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3
                     WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END AS event_type,
-               ts AS event_time,
+               ts AS event_time, event_id,
                row_number() OVER (PARTITION BY CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR)
                                   ORDER BY ts, event_id) AS sequence_number
         FROM events""",

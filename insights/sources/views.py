@@ -271,8 +271,7 @@ class Views:
                          code.alias("event_type"),
                          F.col("ts").alias("event_time"),
                          "event_id")
-                .withColumn("sequence_number", F.row_number().over(w))
-                .drop("event_id"))
+                .withColumn("sequence_number", F.row_number().over(w)))
 
     @cached_property
     def v_users(self) -> DataFrame:
