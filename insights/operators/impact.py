@@ -48,7 +48,7 @@ def weekdays_used(clean: DataFrame) -> DataFrame:
 
 def missing_weeks(clean: DataFrame, weeks: int = 52) -> DataFrame:
     """Week numbers 1..``weeks`` that never occur in ``clean``."""
-    present = clean.select("week_number")
+    present = clean.select("week_number").distinct()   # ≤ 53 rows after partial aggregation
     return (clean.sparkSession.range(1, weeks + 1).select(F.col("id").cast("int").alias("missing_week_number"))
             .join(present, F.col("missing_week_number") == F.col("week_number"), "left_anti"))
 

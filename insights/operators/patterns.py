@@ -60,21 +60,32 @@ def top_k_with_ties(df: DataFrame, value: str, k: int, descending: bool = True)
 
 
 
+# Broadcast a per-group totals table only up to this many rows (~ tens of MB).
+MAX_BROADCAST_GROUPS = 1_000_000
+
+
 def share_of_total(df: DataFrame, value: str, out: str, group=None, digits: int = 2) -> DataFrame:
-    """Add ``out`` = 100 * value / total of value (within ``group`` if given)."""
+    """Add ``out`` = 100 * value / total of value (within ``group`` if given).
+
+    Without groups the total is one row, broadcast.  With groups, the (already
+    aggregated) input is materialised once, the totals are computed from it and
+    their row count is checked: up to ``MAX_BROADCAST_GROUPS`` they are
+    broadcast, so a group holding most rows (6 segments, say) is never funnelled
+    into one task by a join on the group key; beyond it a shuffle join is used.
+    """
     g = _cols(group)
-    tot = df.groupBy(*g).agg(F.sum(value).alias("__tot"))
-    if g:
-        joined = df.join(tot, on=g)
-    else:
+    if not g:
+        tot = df.agg(F.sum(value).alias("__tot"))
         joined = df.crossJoin(F.broadcast(tot))
+    else:
+        from ..plans.sinks import materialize
+        base = materialize(df, "share_input")
+        tot = base.groupBy(*g).agg(F.sum(value).alias("__tot"))
+        small = tot.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS
+        joined = base.join(F.broadcast(tot) if small else tot, on=g)
     return joined.withColumn(out, pct(F.col(value), F.col("__tot"), digits)).drop("__tot")
 
 
-
-
-
-
 def calendar(df: DataFrame, date_col: str, grain: str = "day", name: str = "period") -> DataFrame:
     """Every day (or month start) between the min and max of ``date_col``.
 
@@ -150,7 +161,7 @@ def exact_quantiles(values: DataFrame, col: str, probs: Sequence[float], names:
     picked = rows.join(F.broadcast(located), ["pid", "local"]).select("rank", F.col("v").cast("double").alias("v"))
     lo = picked.select(F.col("rank").alias("lo"), F.col("v").alias("v_lo"))
     hi = picked.select(F.col("rank").alias("hi"), F.col("v").alias("v_hi"))
-    vals = want.join(lo, "lo").join(hi, "hi") \
+    vals = want.join(F.broadcast(lo), "lo").join(F.broadcast(hi), "hi") \
         .select("q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))).alias("x"))
     return vals.agg(*[F.max(F.when(F.col("q") == i, F.col("x"))).alias(nm) for i, nm in enumerate(names)])
 

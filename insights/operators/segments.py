@@ -48,13 +48,13 @@ def drop_null_months(typed: DataFrame) -> DataFrame:
 
 
 def ids_missing_in_map(filtered: DataFrame, interest_map: DataFrame) -> DataFrame:
-    ids = filtered.select(_id_key().alias("iid")).filter(F.col("iid").isNotNull())
+    ids = filtered.select(_id_key().alias("iid")).filter(F.col("iid").isNotNull()).distinct()
     orphans = ids.join(interest_map.select(F.col("id").alias("iid")), "iid", "left_anti")
     return orphans.agg(F.countDistinct("iid").alias("nb_missing_in_map"))
 
 
 def ids_missing_in_metrics(filtered: DataFrame, interest_map: DataFrame) -> DataFrame:
-    ids = filtered.select(_id_key().alias("id"))
+    ids = filtered.select(_id_key().alias("id")).distinct()
     orphans = interest_map.select("id").join(ids, "id", "left_anti")
     return orphans.agg(F.countDistinct("id").alias("orphan_map_ids"))
 
