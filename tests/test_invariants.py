@@ -84,9 +84,11 @@ def test_avg_transaction_is_ratio_of_sums(spark):
 
 def test_visit_summary_campaign_on_visit_start(spark, views001):
     ev = spark.createDataFrame(
-        [("v1", "1-0", 3, 1, dt.datetime(2024, 1, 7, 23, 50), 1), ("v1", "1-0", 4, 2, dt.datetime(2024, 1, 8, 0, 10), 2),
-         ("v1", "1-0", 5, 2, dt.datetime(2024, 1, 8, 0, 11), 3)],
-        "visit_id string, cookie_id string, page_id int, event_type int, event_time timestamp_ntz, sequence_number int")
+        [("v1", "1-0", 3, 1, dt.datetime(2024, 1, 7, 23, 50), 10, 1),
+         ("v1", "1-0", 4, 2, dt.datetime(2024, 1, 8, 0, 10), 11, 2),
+         ("v1", "1-0", 5, 2, dt.datetime(2024, 1, 8, 0, 11), 12, 3)],
+        "visit_id string, cookie_id string, page_id int, event_type int, event_time timestamp_ntz, event_id long, "
+        "sequence_number int")
     users = spark.createDataFrame([(1, "1-0")], "user_id long, cookie_id string")
     r = FN.visit_summary(ev, views001.v_pages, users, views001.v_campaigns).collect()
     assert len(r) == 1 and r[0].campaign_name == "Spring Catch" and r[0].cart_products == "Mackerel, Sardine"
