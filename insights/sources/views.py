@@ -202,17 +202,29 @@ class Views:
     # ---- case 4: bank ----------------------------------------------------------------------
     @cached_property
     def v_node_stays(self) -> DataFrame:
-        o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+        """One stay per order; a stay ends when the customer's next order starts.
+
+        Equivalent to ``lead(start_date)`` over (start_date, order key) per
+        customer, without a window over raw rows: per (customer, date) the
+        last order key is aggregated, ``lead`` runs over distinct dates only
+        (bounded by the calendar), and the result is joined back.  An order
+        that is not its day's last ends that same day.
+        """
+        o = self.t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("d"))
         c = self.t.customer.select("c_custkey", "c_nationkey")
         n = self.t.nation.select("n_nationkey", "n_regionkey")
-        w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate"), F.col("o_orderkey"))
-        start = F.col("o_orderdate").cast("date")
-        return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+        days = o.groupBy("o_custkey", "d").agg(F.max("o_orderkey").alias("last_key"))
+        nxt = days.select("o_custkey", "d", "last_key",
+                          F.lead("d").over(Window.partitionBy("o_custkey").orderBy("d")).alias("next_day"))
+        end = (F.when(F.col("o_orderkey") < F.col("last_key"), F.col("d"))
+               .otherwise(F.coalesce(F.col("next_day"), F.lit(OPEN_END).cast("date"))))
+        return (o.join(nxt, ["o_custkey", "d"])
+                .join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
                 .select(F.col("o_custkey").alias("customer_id"),
                         F.col("n_regionkey").alias("region_id"),
                         (F.col("o_orderkey") % 5 + 1).alias("node_id"),
-                        start.alias("start_date"),
-                        F.coalesce(F.lead(start).over(w), F.lit(OPEN_END).cast("date")).alias("end_date")))
+                        F.col("d").alias("start_date"),
+                        end.alias("end_date")))
 
     @cached_property
     def v_regions(self) -> DataFrame:
