@@ -93,3 +93,14 @@ def test_materialize_without_checkpoint_dir(spark, monkeypatch):
     assert (q.m, q.u) == (5.0, 7.0)
     g = P.global_order(df, ["s"], partitions=2).collect()
     assert sorted((r.grank, r.s) for r in g) == [(0, 1), (1, 3), (2, 5), (3, 7), (4, 9)]
+
+
+def test_recommended_conf_scales_partitions(spark):
+    from insights.plans.session import input_bytes, recommended_conf
+
+    small = recommended_conf(10 << 20)
+    big = recommended_conf(100 << 40)                      # 100 TB
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert input_bytes(spark, ["/root/testdata/sf0.001/orders.parquet"]) > 0
