@@ -5,27 +5,55 @@
 * ``materialize`` — an intermediate reused by several queries: written once
   as Parquet under the cluster's shared ``spark.checkpoint.dir`` and read
   back, which cuts the lineage (a lost executor re-reads files instead of
-  recomputing the whole chain).  Never a machine-local folder, never
-  ``localCheckpoint``.
+  recomputing the whole chain).  Never a machine-local folder on a cluster,
+  never ``localCheckpoint``.
+* ``release`` — delete what ``materialize`` wrote; also done when Python exits.
 """
 
 from __future__ import annotations
 
+import atexit
+import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[tuple[SparkSession, str]] = []
+
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder the session names (``spark.checkpoint.dir``)."""
+    """The shared checkpoint folder the session names (``spark.checkpoint.dir``).
+
+    Where it is unset, a local session (one machine, as in tests) gets a folder
+    of its own; a cluster must name one.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="insights-ckpt-")
+        spark.sparkContext.setCheckpointDir(d)
+        d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the folders ``materialize`` wrote in this session; frames over them end with it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for item in [x for x in _written if x[0] is spark]:
+        path = jvm.org.apache.hadoop.fs.Path(item[1])
+        path.getFileSystem(conf).delete(path, True)
+        _written.remove(item)
+
+
+@atexit.register
+def _release_all() -> None:
+    for spark in {id(s): s for s, _ in _written}.values():
+        if spark.sparkContext._jsc is not None:
+            release(spark)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                 mode: str = "overwrite") -> None:
     w = df.write.mode(mode)
@@ -43,23 +71,13 @@ def save_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = No
 
 
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Compute ``df`` once and return a DataFrame over the stored result.
-
-    With a shared ``spark.checkpoint.dir`` the rows are written there as
-    Parquet (lineage cut: a lost executor re-reads files).  A session without
-    one gets a disk-backed ``persist`` instead (Spark-managed blocks, forced
-    now), which still fixes the result for every later use in the session.
-    """
+    """Compute ``df`` once, as Parquet in the shared checkpoint folder, and return a
+    DataFrame over those files (lineage cut: a lost executor re-reads them)."""
     spark = df.sparkSession
-    try:
-        root = checkpoint_root(spark)
-    except RuntimeError:
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.count()
-        return kept
-    path = f"{root}/insights/{name or 'tmp'}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{checkpoint_root(spark)}/insights/{name or 'tmp'}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, partition_by: Sequence[str] | None = None) -> None:
