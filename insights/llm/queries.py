@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from insights.llm import exact_dedup, mixing
+from insights.llm import exact_dedup, language, licenses, mixing, pii
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": lambda spark, d: pii.report(documents(spark, d)),
+    "op3_licenses": lambda spark, d: licenses.scan(documents(spark, d)),
+    "op4_language": lambda spark, d: language.predict(documents(spark, d)),
     "op5_mixing": lambda spark, d: mixing.mix(documents(spark, d)),
     "op8_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(documents(spark, d)),
 }
