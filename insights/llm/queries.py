@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from insights.llm import exact_dedup, language, licenses, mixing, pii
+from insights.llm import exact_dedup, language, licenses, mixing, packing, pii, token_files
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": lambda spark, d: licenses.scan(documents(spark, d)),
     "op4_language": lambda spark, d: language.predict(documents(spark, d)),
     "op5_mixing": lambda spark, d: mixing.mix(documents(spark, d)),
+    "op6_packing": lambda spark, d: packing.pack(documents(spark, d)),
+    "op7_token_files": lambda spark, d: token_files.round_trip(documents(spark, d)),
     "op8_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(documents(spark, d)),
 }
 
