@@ -75,14 +75,15 @@ def shingles(text: str | None, k: int = WORDS_PER_SHINGLE) -> np.ndarray:
 def seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Multipliers (odd) and offsets of ``n`` MinHash functions."""
     rng = np.random.Generator(np.random.PCG64(77))
-    return (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
-            rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    return (rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1),
+            rng.integers(0, 1 << 32, n, dtype=np.uint32))
 
 
-def minhash(values: np.ndarray, mul: np.ndarray, add: np.ndarray, step: int = 2048) -> np.ndarray:
+def minhash(values: np.ndarray, mul: np.ndarray, add: np.ndarray, step: int = 256) -> np.ndarray:
     """MinHash values (32 bits each) of a set of shingle hashes; the set is
     gone through in slices, so a very long text needs no more memory."""
-    best = np.full(len(mul), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(values), step):
-        np.minimum(best, (values[i : i + step, None] * mul + add).min(axis=0), out=best)
-    return (best >> np.uint64(32)).astype(np.uint32)
+    high = (values >> np.uint64(32)).astype(np.uint32)
+    best = np.full(len(mul), np.iinfo(np.uint32).max, dtype=np.uint32)
+    for i in range(0, len(high), step):
+        np.minimum(best, (high[i : i + step, None] * mul + add).min(axis=0), out=best)
+    return best
