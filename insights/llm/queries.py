@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from insights.llm import exact_dedup, language, licenses, mixing, near_duplicates, packing, pii, token_files
+from insights.llm import exact_dedup, fingerprints, language, licenses, mixing, near_duplicates, packing, pii, token_files
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": lambda spark, d: mixing.mix(documents(spark, d)),
     "op6_packing": lambda spark, d: packing.pack(documents(spark, d)),
     "op7_token_files": lambda spark, d: token_files.round_trip(documents(spark, d)),
+    "op9_fingerprints": lambda spark, d: fingerprints.fingerprint(documents(spark, d)),
     "op10_near_duplicates": lambda spark, d: near_duplicates.classes(documents(spark, d)),
     "op8_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(documents(spark, d)),
 }
