@@ -4,10 +4,11 @@
 Blocks are the lines of a text, as sets of words (A-Z lower-cased).  A block meets
 a template when it holds at least ``threshold`` of the template's words.  Words
 outside all templates can't add to an overlap, so blocks are projected to the
-template vocabulary, a fixed set; then
+template vocabulary, a fixed set, and only texts that hold enough words of a template
+as a whole are cut into blocks; then
 
-* the words of that vocabulary are put in the order of their frequency over all
-  blocks of all documents, rarest first;
+* the words of that vocabulary are put in the order of the number of documents that
+  hold them, over all documents, rarest first;
 * prefix filter: an overlap of ``need`` words leaves at least one common word among
   the first ``size - need + 1`` words on either side, so only those are joined;
 * length filter: the block has ``need`` words at least;
@@ -26,6 +27,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,32 +64,48 @@ def _places(phrases: Sequence[str]) -> str:
     return rf"(?<!{WORD})(?:" + "|".join(GAP.join(p.split()) for p in phrases) + rf")(?!{WORD})"
 
 
+def _need(template: str, threshold: float) -> int:
+    return math.ceil(threshold * len(set(template.split())) - 1e-9)
+
+
+def _literals(words: Sequence[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
+
+
 def _words(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(WORD + "+")).cast("long")
+    return F.size(F.array_remove(F.split(c, GAP), "")).cast("long")
 
 
-def scanned(docs: DataFrame, phrases: Mapping[str, str], vocabulary: Sequence[str]) -> DataFrame:
-    """One row per document: base places, and the blocks as arrays of template words."""
+def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: float) -> DataFrame:
+    """One row per document: base places, its template words (``known``), and its blocks as arrays of
+    template words where the whole text holds enough of a template; elsewhere no block can."""
+    vocabulary = sorted({w for _, t in templates for w in t.split()})
     low = docs.select(docs["doc_id"].alias("doc_id"), ascii_lower(whole_text(docs)).alias("low"))
+    low = low.withColumn("words", F.array_remove(F.split("low", GAP), ""))
     any_place, low_text = _places(list(phrases)), F.col("low")
+    # every place of a phrase holds its longest word as written
+    maybe = reduce(or_, [low_text.contains(w) for w in {max(p.split(), key=len) for p in phrases}])
+    counted = low.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "low", F.size("words").cast("long").alias("n_words"),
+        F.array_intersect("words", _literals(vocabulary)).alias("known"),
+        F.when(maybe, F.regexp_count(low_text, F.lit(any_place))).otherwise(0).cast("long").alias("n_base"))
     found = F.col("n_base") > 0
-    before_first = F.expr("left(low, first_at - 1)")
+    before_first = F.expr("left(low, cast(first_at - 1 as int))")
     before_last = F.regexp_extract(low_text, f"(?s)^(.*){any_place}", 1)
     labels = F.array_compact(F.array(*[F.when(low_text.rlike(_places([p])), F.lit(label))
                                        for p, label in phrases.items()]))
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    blocks = F.filter(F.transform(F.split(low_text, "\n"), lambda x: F.array_intersect(F.split(x, GAP), known)),
+    enough = reduce(or_, [F.size(F.array_intersect("known", _literals(sorted(set(t.split()))))) >= _need(t, threshold)
+                          for _, t in templates])
+    none = F.array().cast("array<string>")
+    blocks = F.filter(F.transform(F.split(low_text, "\n"),
+                                  lambda x: F.array_intersect(F.split(x, GAP), _literals(vocabulary))),
                       lambda b: F.size(b) > 0)
-    counted = low.withColumns({
-        "n_words": _words(low_text), "n_base": F.regexp_count(low_text, F.lit(any_place)).cast("long"),
-        "first_at": F.regexp_instr(low_text, F.lit(any_place))})
-    return counted.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", "n_base",
+    return counted.withColumn("first_at", F.when(found, F.regexp_instr(low_text, F.lit(any_place)))).select(
+        "row", "doc_id", "n_words", "n_base",
         F.when(found, _words(before_first)).alias("first_word"),
         F.when(found, _words(before_last)).alias("last_word"),
-        F.when(found, F.array_sort(F.array_distinct(labels))).otherwise(F.array().cast("array<string>"))
-        .alias("base"),
-        blocks.alias("blocks"))
+        F.when(found, F.array_sort(F.array_distinct(labels))).otherwise(none).alias("base"), "known",
+        F.when(enough, blocks).otherwise(F.array().cast("array<array<string>>")).alias("blocks"))
 
 
 def _template_rows(spark: SparkSession, templates, order: Sequence[str], threshold: float) -> DataFrame:
@@ -95,24 +114,22 @@ def _template_rows(spark: SparkSession, templates, order: Sequence[str], thresho
     rows = []
     for k, (label, text) in enumerate(templates):
         words = sorted(set(text.split()), key=at.__getitem__)
-        need = math.ceil(threshold * len(words) - 1e-9)
+        need = _need(text, threshold)
         for i, w in enumerate(words[: len(words) - need + 1]):
             rows.append(F.struct(F.lit(w).alias("word"), F.lit(i).alias("i"), F.lit(k).alias("template"),
                                  F.lit(label).alias("label"), F.lit(need).alias("need"),
-                                 F.array(*[F.lit(x) for x in words]).alias("whole")))
+                                 _literals(words).alias("whole")))
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def join_templates(blocks: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+def join_templates(blocks: DataFrame, order: Sequence[str], templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """(row, block, template, label, containment) of every block that meets a template.
 
-    ``blocks``: row, block (its number in the text), words (distinct, of the vocabulary)."""
-    counts = blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    seen = {r["word"]: r["n"] for r in counts.collect()}  # as many rows as the fixed vocabulary has words
-    order = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (seen.get(w, 0), w))
-    least = min(math.ceil(threshold * len(set(t.split())) - 1e-9) for _, t in templates)
+    ``blocks``: row, block (its number in the text), words (distinct, of the vocabulary);
+    ``order``: the vocabulary, rarest word first."""
+    least = min(_need(t, threshold) for _, t in templates)
     ordered = blocks.filter(F.size("words") >= least).withColumn(
-        "words", F.array_intersect(F.array(*[F.lit(w) for w in order]), "words"))
+        "words", F.array_intersect(_literals(order), "words"))
     prefix = ordered.select("row", "block", "words", F.posexplode(
         F.slice("words", F.lit(1), F.size("words") - least + 1)).alias("j", "word"))
     of = F.broadcast(_template_rows(blocks.sparkSession, templates, order, threshold))
@@ -129,14 +146,16 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases: Mapping[str, str] = PHRA
          threshold: float = 0.8) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks
     (blocks that meet a template)."""
-    vocabulary = sorted({w for _, t in templates for w in t.split()})
-    texts = materialize(scanned(docs, phrases, vocabulary), "blocks")
+    texts = materialize(scanned(docs, phrases, templates, threshold), "blocks")
+    counts = texts.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    seen = {r["word"]: r["n"] for r in counts.collect()}  # as many rows as the fixed vocabulary has words
+    order = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (seen.get(w, 0), w))
     blocks = texts.select("row", F.posexplode("blocks").alias("block", "words"))
-    met = (join_templates(blocks, templates, threshold).groupBy("row")
+    met = (join_templates(blocks, order, templates, threshold).groupBy("row")
            .agg(F.collect_set("label").alias("met"), F.max("containment").alias("most"),
                 F.countDistinct("block").alias("n_blocks")))
     none = F.array().cast("array<string>")
-    return texts.drop("blocks").join(met, "row", "left").select(
+    return texts.drop("blocks", "known").join(met, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("met", none))), ",").alias("labels"),
