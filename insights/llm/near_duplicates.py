@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from insights.llm import shingles as S
@@ -58,7 +58,8 @@ def needed(threshold: float, tolerance: float, step: int = STEP, hashes: int = H
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the shingle set, its size and MinHash values; one row per document."""
+    """doc_id, a hash of the text as it stands (h), digest of the shingle set, its size and MinHash
+    values; one row per document."""
     mul, add = S.seeds(HASHES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,11 +67,13 @@ def sketches(docs: DataFrame) -> DataFrame:
             sets = (S.shingles(t.as_py()) for t in b.column("text"))
             rows = [(hashlib.md5(s.tobytes()).digest(), len(s), S.minhash(s, mul, add).tobytes())
                     if len(s) else (None, 0, None) for s in sets]
-            yield pa.record_batch([b.column("doc_id"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.binary(), pa.int64(), pa.binary())))], names=["doc_id", "digest", "n", "signature"])
+            yield pa.record_batch([b.column("doc_id"), b.column("h"), *(pa.array([r[i] for r in rows], t) for i, t in
+                                                                        enumerate((pa.binary(), pa.int64(), pa.binary())))],
+                                  names=["doc_id", "h", "digest", "n", "signature"])
 
-    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, digest binary, n long, signature binary")
+    text = docs["text"].cast("string")
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return own.mapInArrow(run, "doc_id long, h long, digest binary, n long, signature binary")
 
 
 def distinct_sets(sketched: DataFrame) -> DataFrame:
@@ -223,23 +226,46 @@ def links(docs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> Dat
             .mapInArrow(_compare(threshold), "set_id long, links long, root long"))
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (least doc_id of its class), n_links (other texts it is linked to), rep_id
-    (least doc_id with the same set), copies (rows with the same set), for every document."""
-    sketched = materialize(sketches(docs), "sketches")
+def _per_set(docs: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
+    """_digest, class_set (least set of the class), class_id, n_links, rep_id, copies of every distinct set."""
     sets = materialize(distinct_sets(sketched), "sets")
     found = materialize(links(docs, sets, threshold), "links")
     comps = components(found.select(F.col("set_id").alias("u"), F.col("root").alias("v")))
     named = comps.join(sets.select(F.col("set_id").alias("node"), "rep_id"), "node")
     least = named.groupBy("comp").agg(F.min("rep_id").alias("class_id"))
-    class_of = named.join(least, "comp").select(F.col("node").alias("set_id"), "class_id")
+    class_of = named.join(least, "comp").select(F.col("node").alias("set_id"), "comp", "class_id")
     count = found.groupBy("set_id").agg(F.sum("links").alias("n_links"))
-    per_set = (sets.select("set_id", "digest", "rep_id", "copies")
-               .join(class_of, "set_id", "left").join(count, "set_id", "left")
-               .select(F.col("digest").alias("_digest"), "rep_id", "copies",
-                       F.coalesce("class_id", "rep_id").alias("class_id"),
-                       F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return (sets.select("set_id", "digest", "rep_id", "copies")
+            .join(class_of, "set_id", "left").join(count, "set_id", "left")
+            .select(F.col("digest").alias("_digest"), "rep_id", "copies",
+                    F.coalesce("comp", "set_id").alias("class_set"),
+                    F.coalesce("class_id", "rep_id").alias("class_id"),
+                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id (least doc_id of its class), n_links (other texts it is linked to), rep_id
+    (least doc_id with the same set), copies (rows with the same set), for every document."""
+    sketched = materialize(sketches(docs), "sketches")
+    per_set = _per_set(docs, sketched, threshold)
     return sketched.select("doc_id", "digest").join(per_set, F.col("digest") == F.col("_digest"), "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("rep_id", "doc_id").alias("rep_id"),
         F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
+def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One document of each class (the one with the least doc_id), with all its columns.
+
+    A text without words is a class of its own; of rows equal in doc_id and text one stays."""
+    sketched = materialize(sketches(docs), "sketches")
+    per_set = _per_set(docs, sketched, threshold).select("_digest", "class_set")
+    row = F.struct("doc_id", "h")
+    stays = (sketched.select("doc_id", "h", "digest").join(per_set, F.col("digest") == F.col("_digest"))
+             .groupBy("class_set").agg(F.min(row).alias("row")).select("row")
+             .unionByName(sketched.filter(F.col("digest").isNull()).select(row.alias("row")).distinct())
+             .select(F.col("row.doc_id").alias("__id"), F.col("row.h").alias("__h")))
+    here = docs.withColumn("__own", F.xxhash64(docs["text"].cast("string")))
+    joined = here.join(stays, (F.col("__own") == F.col("__h")) & here["doc_id"].eqNullSafe(F.col("__id")))
+    one = Window.partitionBy("__h", "__id").orderBy("__own")
+    return joined.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*docs.columns)

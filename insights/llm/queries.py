@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from insights.llm import exact_dedup, fingerprints, language, licenses, mixing, near_duplicates, packing, pii, token_files
+import corpus_pipeline
+from insights.llm import exact_dedup, fingerprints, language, licenses, mixing, near_duplicates, packing, pii, quality, token_files
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,14 +16,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": lambda spark, d: pii.report(documents(spark, d)),
+    "op2_quality": lambda spark, d: quality.classify(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
     "op3_licenses": lambda spark, d: licenses.scan(documents(spark, d)),
     "op4_language": lambda spark, d: language.predict(documents(spark, d)),
     "op5_mixing": lambda spark, d: mixing.mix(documents(spark, d)),
     "op6_packing": lambda spark, d: packing.pack(documents(spark, d)),
     "op7_token_files": lambda spark, d: token_files.round_trip(documents(spark, d)),
+    "op8_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(documents(spark, d)),
     "op9_fingerprints": lambda spark, d: fingerprints.fingerprint(documents(spark, d)),
     "op10_near_duplicates": lambda spark, d: near_duplicates.classes(documents(spark, d)),
-    "op8_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(documents(spark, d)),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
