@@ -59,16 +59,15 @@ def avg_stay_days(stays: DataFrame) -> DataFrame:
 
 
 def stay_percentiles_by_region(stays: DataFrame, regions: DataFrame,
-                               percentiles=(0.5, 0.8, 0.95), approx: bool = False) -> DataFrame:
-    """Exact ``percentile_cont`` of stay days per region (``approx`` for huge groups).
+                               percentiles=(0.5, 0.8, 0.95)) -> DataFrame:
+    """Exact ``percentile_cont`` of stay days per region.
 
     Stay lengths are whole days, so the exact aggregate keeps one counter per
     distinct day count per region — bounded by the calendar, not by rows.
     """
     s = _closed_stays(stays)
-    fn = (lambda p: F.percentile_approx("days", p, 10000)) if approx else (lambda p: F.percentile("days", p))
     per = s.groupBy("region_id").agg(*[
-        (F.round(fn(p) * 100) / 100.0).alias(f"percentile_{int(round(p * 100))}") for p in percentiles])
+        (F.round(F.percentile("days", p) * 100) / 100.0).alias(f"percentile_{int(round(p * 100))}") for p in percentiles])
     return per.join(regions, "region_id").drop("region_id")
 
 

@@ -64,23 +64,17 @@ def avg_unique_products_per_txn(sales: DataFrame) -> DataFrame:
     return per_txn.agg(avg_exact("n").alias("avg_unique_products_per_transaction"))
 
 
-def txn_revenue_percentiles(sales: DataFrame, approx: bool = False) -> DataFrame:
-    """p25/p50/p75 of net revenue per transaction (exact ``percentile_cont``).
-
-    ``approx=True`` switches to ``percentile_approx`` for very large inputs.
-    """
+def txn_revenue_percentiles(sales: DataFrame) -> DataFrame:
+    """p25/p50/p75 of net revenue per transaction (exact ``percentile_cont``)."""
     per_txn = sales.groupBy("txn_id").agg(F.sum(net()).alias("r"))
-    return revenue_quartiles(per_txn, "r", approx)
+    return revenue_quartiles(per_txn, "r")
 
 
 QUARTILES = ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
 
 
-def revenue_quartiles(per_txn: DataFrame, col: str, approx: bool = False, scale: int = 10000) -> DataFrame:
+def revenue_quartiles(per_txn: DataFrame, col: str, scale: int = 10000) -> DataFrame:
     """p25/p50/p75 of an exact money column, rounded to cents (one row)."""
-    if approx:
-        return per_txn.agg(*[round_double(F.percentile_approx(F.col(col).cast("double"), p, 100000)).alias(n)
-                             for p, n in QUARTILES])
     scaled = per_txn.select((F.col(col) * scale).cast("bigint").alias("s"))
     q = exact_quantiles(scaled, "s", [p for p, _ in QUARTILES], [n for _, n in QUARTILES])
     return q.select(*[round_double(F.col(n) / F.lit(float(scale))).alias(n) for _, n in QUARTILES])
@@ -177,30 +171,28 @@ def category_share(sales: DataFrame, product: DataFrame) -> DataFrame:
 def product_penetration(sales: DataFrame, product: DataFrame) -> DataFrame:
     """% of all transactions that contain each product."""
     per = sales.groupBy("prod_id").agg(F.countDistinct("txn_id").alias("n"))
-    total = F.broadcast(sales.agg(F.countDistinct("txn_id").alias("total")))
+    total = F.broadcast(sales.agg(F.countDistinct("txn_id").alias("total")))  # one row
     return (per.crossJoin(total).join(product, F.col("prod_id") == F.col("product_id"))
             .select("product_id", "product_name", pct(F.col("n"), F.col("total")).alias("penetration_percentage")))
 
 
-def top_product_triple(sales: DataFrame, product: DataFrame, level: str = "bucket", k: int = 1) -> DataFrame:
-    """Most frequent combination of 3 distinct ``level`` values in one transaction.
+def top_product_triple(sales: DataFrame, product: DataFrame, k: int = 1) -> DataFrame:
+    """Most frequent combination of 3 different products in one transaction (ties: smallest ids).
 
-    Each transaction's distinct values are collected (``collect_set`` combines
-    partially, and the set is bounded by the size of the ``level`` domain, not
-    by the transaction's row count); the 3-combinations of that sorted set are
-    generated with array functions, exploded and counted.  No self-join.
+    Pairs and triples come from equi-joins on the transaction with ``<`` on the
+    product id, so a basket's combinations are rows that stream through the
+    partial count, never one array; the few winners get their names at the end.
     """
-    labelled = sales.join(product.select("product_id", level), F.col("prod_id") == F.col("product_id"))
-    baskets = labelled.groupBy("txn_id").agg(F.array_sort(F.collect_set(level)).alias("b"))
-    idx = F.sequence(F.lit(0), F.size("b") - 1)
-    combos = F.flatten(F.transform(idx, lambda i: F.flatten(F.transform(
-        F.filter(idx, lambda j: j > i), lambda j: F.transform(
-            F.filter(idx, lambda m: m > j),
-            lambda m: F.struct(F.col("b")[i].alias("product_1"), F.col("b")[j].alias("product_2"),
-                               F.col("b")[m].alias("product_3")))))))
-    triples = (baskets.filter(F.size("b") >= 3).select(F.explode(combos).alias("t")).select("t.*")
-               .groupBy("product_1", "product_2", "product_3").agg(F.count(F.lit(1)).alias("combination_count")))
-    return top_k(triples, [F.col("combination_count").desc(), "product_1", "product_2", "product_3"], k)
+    def bought(n: int) -> DataFrame:
+        return sales.select("txn_id", F.col("prod_id").alias(f"p{n}")).distinct()
+
+    triples = (bought(1).join(bought(2), "txn_id").filter("p1 < p2").join(bought(3), "txn_id").filter("p2 < p3")
+               .groupBy("p1", "p2", "p3").agg(F.count(F.lit(1)).alias("combination_count")))
+    best = top_k(triples, [F.col("combination_count").desc(), "p1", "p2", "p3"], k)
+    for n in (1, 2, 3):
+        named = product.select(F.col("product_id").alias(f"p{n}"), F.col("product_name").alias(f"product_{n}"))
+        best = best.join(named, f"p{n}")
+    return best.select("product_1", "product_2", "product_3", "combination_count")
 
 
 def flatten_hierarchy(hierarchy: DataFrame) -> DataFrame:

@@ -46,11 +46,14 @@ def weekdays_used(clean: DataFrame) -> DataFrame:
                         dow_sunday0("week_date").alias("day_number")).distinct()
 
 
-def missing_weeks(clean: DataFrame, weeks: int = 52) -> DataFrame:
-    """Week numbers 1..``weeks`` that never occur in ``clean``."""
-    present = clean.select("week_number").distinct()   # ≤ 53 rows after partial aggregation
-    return (clean.sparkSession.range(1, weeks + 1).select(F.col("id").cast("int").alias("missing_week_number"))
-            .join(present, F.col("missing_week_number") == F.col("week_number"), "left_anti"))
+SLICE = ("calendar_year", "region", "platform", "segment", "customer_type")
+
+
+def missing_weeks(clean: DataFrame, by: Sequence[str] = SLICE, weeks: int = 52) -> DataFrame:
+    """Week numbers 1..``weeks`` without sales, for every slice that has any (at most 53 numbers a slice)."""
+    seen = clean.groupBy(*by).agg(F.collect_set("week_number").alias("seen"))
+    every = F.sequence(F.lit(1), F.lit(weeks))
+    return seen.select(*by, F.explode(F.array_except(every, "seen")).alias("missing_week_number"))
 
 
 def transactions_per_year(clean: DataFrame) -> DataFrame:
@@ -111,14 +114,21 @@ def before_after(clean: DataFrame, event: dt.date, weeks: int = 4) -> DataFrame:
 
 
 def before_after_by_year(clean: DataFrame, event: dt.date, weeks: int = 4) -> DataFrame:
-    """The same ISO-week window around the event's week number, for every year."""
-    wk = event.isocalendar()[1]
-    n = F.col("week_number")
-    near = clean.filter(n.between(wk - weeks, wk + weeks - 1))
-    g = near.groupBy("calendar_year").agg(
-        money(F.sum(F.when(n < wk, F.col("sales")))).alias("sales_before"),
-        money(F.sum(F.when(n >= wk, F.col("sales")))).alias("sales_after"))
-    return _impact(g, "sales_before", "sales_after", "variance")
+    """The ``weeks`` weeks before and from the same ISO week on, for every year of the data.
+
+    The window is one of dates, so an event early or late in the year keeps the
+    weeks that lie in the year before or after.
+    """
+    year, day = F.col("year"), F.col("week_date")
+    # Monday of the event's ISO week in that year: the week of 4 January is week 1
+    start = F.date_add(F.trunc(F.make_date(year, F.lit(1), F.lit(4)), "week"), 7 * (event.isocalendar()[1] - 1))
+    own = clean.select(F.col("calendar_year").alias("year")).distinct()
+    near = (clean.select("week_date", "sales", F.explode(F.array(*[F.year("week_date") + k for k in (-1, 0, 1)])).alias("year"))
+            .filter((day >= F.date_add(start, -7 * weeks)) & (day < F.date_add(start, 7 * weeks))))
+    g = near.groupBy("year").agg(
+        money(F.sum(F.when(day < start, F.col("sales")))).alias("sales_before"),
+        money(F.sum(F.when(day >= start, F.col("sales")))).alias("sales_after")).join(own, "year", "left_semi")
+    return _impact(g.withColumnRenamed("year", "calendar_year"), "sales_before", "sales_after", "variance")
 
 
 def impact_by_dimension(clean: DataFrame, event: dt.date, weeks: int = 12,

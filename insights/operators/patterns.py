@@ -8,8 +8,9 @@ Scale notes that apply to all of them:
   filter, which Spark plans as a partial ``WindowGroupLimit`` before the
   shuffle (each task ships only its local leaders);
 * totals for shares are a separate aggregate joined back (one row → broadcast
-  of a proven size; per-group totals → AQE picks broadcast at run time), never
-  an un-partitioned window over many rows.
+  of a proven size; per-group totals → Spark's size check picks the join), never
+  an un-partitioned window over many rows;
+* nothing here starts a job: every function only returns a plan.
 """
 
 from __future__ import annotations
@@ -58,31 +59,16 @@ def top_k_with_ties(df: DataFrame, value: str, k: int, descending: bool = True)
     return df.crossJoin(F.broadcast(kth)).filter(cond).drop("__kth")
 
 
-
-
-# Broadcast a per-group totals table only up to this many rows (~ tens of MB).
-MAX_BROADCAST_GROUPS = 1_000_000
-
-
 def share_of_total(df: DataFrame, value: str, out: str, group=None, digits: int = 2) -> DataFrame:
     """Add ``out`` = 100 * value / total of value (within ``group`` if given).
 
-    Without groups the total is one row, broadcast.  With groups, the (already
-    aggregated) input is materialised once, the totals are computed from it and
-    their row count is checked: up to ``MAX_BROADCAST_GROUPS`` they are
-    broadcast, so a group holding most rows (6 segments, say) is never funnelled
-    into one task by a join on the group key; beyond it a shuffle join is used.
+    ``df`` is already aggregated.  Without groups the total is one row,
+    broadcast; with groups the totals are joined back by the group, and Spark's
+    own size check and skew splitting choose how.
     """
     g = _cols(group)
-    if not g:
-        tot = df.agg(F.sum(value).alias("__tot"))
-        joined = df.crossJoin(F.broadcast(tot))
-    else:
-        from ..plans.sinks import materialize
-        base = materialize(df, "share_input")
-        tot = base.groupBy(*g).agg(F.sum(value).alias("__tot"))
-        small = tot.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS
-        joined = base.join(F.broadcast(tot) if small else tot, on=g)
+    totals = df.groupBy(*g).agg(F.sum(value).alias("__tot"))
+    joined = df.join(totals, on=g) if g else df.crossJoin(F.broadcast(totals))
     return joined.withColumn(out, pct(F.col(value), F.col("__tot"), digits)).drop("__tot")
 
 
@@ -120,71 +106,52 @@ def dense_running_total(df: DataFrame, key: str, date_col: str, value: Column, g
             .select(key, period, F.sum("__v").over(w).alias(out)))
 
 
-_LOCAL_BITS = 33  # monotonically_increasing_id(): partition id above bit 33, row index below
-
+RANGES = 64
 
-def exact_quantiles(values: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
-                    partitions: int | None = None) -> DataFrame:
-    """Exact ``percentile_cont`` of ``col`` for several ``probs``, as one row.
 
-    Distributed: values are range-partitioned and sorted inside each
-    partition, numbered with ``monotonically_increasing_id`` and materialised
-    once in the shared checkpoint folder (stable partition ids, lineage cut).
-    Per-partition counts (one row per partition) give each partition's rank
-    offset; the ≤ 2·len(probs) rows at the target ranks are picked with a
-    broadcast join.  No task holds more than one range partition, unlike a
-    single exact-percentile aggregate whose final merge holds every distinct
-    value.  ``col`` should be exact (integer-scaled) so the interpolation is
-    exact.
+def exact_quantiles(values: DataFrame, col: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact ``percentile_cont`` of ``col`` for several ``probs``, as one row, in one lazy plan.
 
+    Values are first counted, so a value that most rows share is one row.  The
+    distinct values are dealt over ``RANGES`` ranges of about equal row counts
+    (approximate quantiles as edges); the ranges' totals, a row each, say in
+    which range each wanted rank lies, and only those ranges are numbered by a
+    running count.  ``col`` should be exact (integer-scaled), so the
+    interpolation is exact.
     """
-    from ..plans.sinks import materialize
-
-    spark = values.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = materialize(values.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-                           .repartitionByRange(nparts, "v").sortWithinPartitions("v")
-                           .withColumn("mid", F.monotonically_increasing_id()), "quantiles")
-    rows = numbered.select(F.shiftright("mid", _LOCAL_BITS).alias("pid"),
-                           F.col("mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("local"), "v")
-    counts = rows.groupBy("pid").agg(F.count(F.lit(1)).alias("c"))          # one row per range partition
-    offsets = counts.select("pid", "c", (F.sum("c").over(Window.orderBy("pid")) - F.col("c")).alias("off"))
-    n = counts.agg(F.sum("c").alias("n"))
-    want = n.select(F.explode(F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(p)).alias("p"))
-                                        for i, p in enumerate(probs)])).alias("t"), "n") \
-        .select("t.q", ((F.col("n") - 1) * F.col("t.p")).alias("pos")) \
-        .select("q", "pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
-    ranks = want.select(F.explode(F.array("lo", "hi")).alias("rank")).distinct()
+    kept = values.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
+    edges = kept.agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 10_000).alias("edges"))
+    counted = (kept.groupBy("v").agg(F.count(F.lit(1)).alias("c")).crossJoin(F.broadcast(edges))
+               .select("v", "c", F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("bin")))
+    sizes = counted.groupBy("bin").agg(F.sum("c").alias("n"))
+    offsets = sizes.select("bin", "n", (F.sum("n").over(Window.orderBy("bin")) - F.col("n")).alias("off"))
+    total = sizes.agg(F.sum("n").alias("total"))
+    want = total.select("total", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("q"), F.lit(float(x)).alias("p")) for i, x in enumerate(probs)]))) \
+        .select("q", ((F.col("total") - 1) * F.col("p")).alias("pos"))
+    ranks = want.select("q", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank")).distinct()
     located = ranks.join(F.broadcast(offsets), (F.col("rank") >= F.col("off"))
-                         & (F.col("rank") < F.col("off") + F.col("c"))) \
-        .select("rank", "pid", (F.col("rank") - F.col("off")).alias("local"))
-    picked = rows.join(F.broadcast(located), ["pid", "local"]).select("rank", F.col("v").cast("double").alias("v"))
-    lo = picked.select(F.col("rank").alias("lo"), F.col("v").alias("v_lo"))
-    hi = picked.select(F.col("rank").alias("hi"), F.col("v").alias("v_hi"))
-    vals = want.join(F.broadcast(lo), "lo").join(F.broadcast(hi), "hi") \
-        .select("q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))).alias("x"))
-    return vals.agg(*[F.max(F.when(F.col("q") == i, F.col("x"))).alias(nm) for i, nm in enumerate(names)])
-
-
-def global_order(df: DataFrame, order: Sequence[str], name: str = "grank",
-                 partitions: int | None = None) -> DataFrame:
-    """``df`` plus a dense 0-based global rank by ``order`` (ties by position).
-
-    Range partitioning splits even one huge key (e.g. a customer holding a
-    third of all rows) over many partitions; rows are sorted and numbered
-    inside each partition, materialised in the shared checkpoint folder (so
-    the numbering is stable), and per-partition offsets — one row per
-    partition, broadcast — turn local numbers into global ranks.
+                         & (F.col("rank") < F.col("off") + F.col("n"))).select("q", "pos", "rank", "bin", "off")
+    run = F.sum("c").over(Window.partitionBy("q", "rank").orderBy("v")) + F.col("off")
+    picked = (counted.join(F.broadcast(located), "bin").withColumn("upto", run)
+              .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("c"))))
+    v = F.col("v").cast("double")
+    per = picked.groupBy("q", "pos").agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    x = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
+    return per.agg(*[F.max(F.when(F.col("q") == i, x)).alias(nm) for i, nm in enumerate(names)])
+
+
+def previous_by(df: DataFrame, key: str, day: str, order: str, value: str, out: str) -> DataFrame:
+    """``lag(value)`` per key over (day, order), without a window over a key's raw rows.
+
+    The lag runs inside a (key, day); a day's first row takes the last value of
+    the key's day before, from one row per (key, day).  A busy key is spread
+    over its days, and the window over days is bounded by the calendar.
     """
-    from ..plans.sinks import materialize
-
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = materialize(df.repartitionByRange(nparts, *order).sortWithinPartitions(*order)
-                           .withColumn("__mid", F.monotonically_increasing_id()), "ordered")
-    rows = numbered.withColumn("__pid", F.shiftright("__mid", _LOCAL_BITS)) \
-        .withColumn("__local", F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-    offsets = rows.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c")) \
-        .select("__pid", (F.sum("__c").over(Window.orderBy("__pid")) - F.col("__c")).alias("__off"))
-    return rows.join(F.broadcast(offsets), "__pid") \
-        .withColumn(name, F.col("__off") + F.col("__local")).drop("__pid", "__local", "__off", "__mid")
+    days = df.groupBy(key, day).agg(F.max_by(value, order).alias("__last"))
+    before = days.select(key, day, F.lag("__last").over(Window.partitionBy(key).orderBy(day)).alias("__before"))
+    inside = Window.partitionBy(key, day).orderBy(order)
+    rows = df.withColumn("__in", F.lag(value).over(inside)).withColumn("__n", F.row_number().over(inside))
+    return (rows.join(before, [key, day])
+            .withColumn(out, F.when(F.col("__n") == 1, F.col("__before")).otherwise(F.col("__in")))
+            .drop("__in", "__n", "__before"))

@@ -7,7 +7,7 @@ start_date, event_id, amount).  Event order inside a customer is
 "Last/first event per customer" questions are answered with ``max_by`` /
 ``min_by`` aggregates (partial aggregation, so one very active customer does
 not become one hot task).  Questions about *adjacent* events use a global rank
-(``patterns.global_order``) or a ``row_number() <= k`` filter, which Spark
+(``patterns.previous_by``) or a ``row_number() <= k`` filter, which Spark
 plans as a partial WindowGroupLimit before the shuffle.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money, pct, ratio
-from .patterns import global_order, share_of_total
+from .patterns import previous_by, share_of_total
 
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
 ORDER = ["start_date", "event_id"]
@@ -147,19 +147,12 @@ def days_to_annual_buckets(events: DataFrame) -> DataFrame:
 def downgrades_in_year(events: DataFrame, year: int, from_plan: int = PRO, to_plan: int = BASIC) -> DataFrame:
     """Customers whose ``to_plan`` event in ``year`` directly follows a ``from_plan`` event.
 
-    "Directly follows" = adjacent in the global (customer, start_date,
-    event_id) order with the same customer.  The order is a global rank
-    (``patterns.global_order``), so a very active customer is spread over many
-    partitions; the predecessor is an equi-join on rank − 1 between the few
-    candidate rows on each side.
+    "Directly follows" = the customer's event before it in (start_date, event_id)
+    order (``patterns.previous_by``: no window over a customer's raw events).
     """
-    lo, hi = dt.date(year, 1, 1), dt.date(year, 12, 31)
-    ranked = global_order(events.select("customer_id", "plan_id", *ORDER), ["customer_id", *ORDER])
-    cur = ranked.filter((F.col("plan_id") == to_plan) & F.col("start_date").between(F.lit(lo), F.lit(hi))) \
-        .select("customer_id", (F.col("grank") - 1).alias("prev_rank"))
-    prev = ranked.filter(F.col("plan_id") == from_plan) \
-        .select(F.col("customer_id").alias("prev_customer"), F.col("grank").alias("prev_rank"))
-    hits = cur.join(prev, "prev_rank").filter(F.col("customer_id") == F.col("prev_customer"))
+    moves = previous_by(events.select("customer_id", "plan_id", *ORDER), "customer_id", *ORDER, "plan_id", "from_plan")
+    hits = moves.filter((F.col("from_plan") == from_plan) & (F.col("plan_id") == to_plan)
+                        & F.col("start_date").between(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 31))))
     return hits.agg(F.countDistinct("customer_id").alias("nb_downgrades"))
 
 

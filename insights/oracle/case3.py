@@ -1,101 +1,81 @@
-"""Oracle SQL (DuckDB) for case 3, in the source's window / self-join form."""
+"""Check SQL (DuckDB) for case 3, written from the questions."""
 
 from .sqlfn import MONEY, PCT, RATIO
 from .views import with_views
 
-CUSTOMERS = "(1, 2, 11, 13, 15, 16, 18, 19)"
+CUSTOMERS = "(1, 4, 7, 10, 22, 25, 31, 40)"
 SINCE = "DATE '2000-01-01'"
 AT = "DATE '1996-12-31'"
 YEAR = 1997
+IN_YEAR = f"year(start_date) = {YEAR}"
 
-_FIRST_TWO = """
-    WITH r AS (SELECT customer_id, plan_id,
-                      row_number() OVER (PARTITION BY customer_id ORDER BY start_date, event_id) AS rn
-               FROM v_plan_events),
-    ft AS (SELECT customer_id, max(CASE WHEN rn = 1 THEN plan_id END) AS first_plan,
-                  max(CASE WHEN rn = 2 THEN plan_id END) AS second_plan
-           FROM r GROUP BY customer_id)"""
+# each customer's plans in order, as one list
+_PATHS = """
+    WITH paths AS (
+      SELECT customer_id, list(plan_id ORDER BY start_date, event_id) AS plans FROM v_plan_events GROUP BY customer_id)"""
 
-_DAYS = """
-    WITH inscription AS (SELECT customer_id, min(start_date) AS date_inscription FROM v_plan_events GROUP BY customer_id),
-    annual AS (SELECT customer_id, min(start_date) AS date_annual FROM v_plan_events WHERE plan_id = 3
-               GROUP BY customer_id),
-    d AS (SELECT a.customer_id, date_diff('day', i.date_inscription, a.date_annual) AS jours
-          FROM annual a JOIN inscription i ON a.customer_id = i.customer_id)"""
+_WAITS = """
+    WITH waits AS (
+      SELECT min(start_date) FILTER (plan_id = 3) - min(start_date) AS days
+      FROM v_plan_events GROUP BY customer_id HAVING bool_or(plan_id = 3))"""
+
+_REVENUE = f"""
+    SELECT CAST(date_trunc('month', start_date) AS DATE) AS month, {MONEY('sum(amount)')} AS mrr
+    FROM v_plan_events WHERE plan_id BETWEEN 1 AND 3 GROUP BY ALL"""
+
+# Waiting time buckets, in order.
+_BUCKETS = ("0-30 days", "31-60 days", "61-90 days", "91-120 days", "121-150 days", "151-180 days", "over 180 days")
+_NO = "CAST(greatest(1, least(7, ceil(days / 30.0))) AS INTEGER)"
 
 SQL = {
     "customer_journeys": f"""
-        SELECT customer_id, plan_id, plan_name, start_date, amount AS price
-        FROM v_plan_events WHERE customer_id IN {CUSTOMERS} ORDER BY customer_id, start_date""",
-    "total_customers": "SELECT count(DISTINCT customer_id) AS total_customers FROM v_plan_events",
+        SELECT customer_id, plan_id, plan_name, start_date, amount AS price FROM v_plan_events
+        WHERE customer_id IN {CUSTOMERS}""",
+    "total_customers": "SELECT count(*) AS total_customers FROM (SELECT DISTINCT customer_id FROM v_plan_events)",
     "trials_per_month": """
-        SELECT CAST(date_trunc('month', start_date) AS DATE) AS month_start, count(*) AS nb_trials
-        FROM v_plan_events WHERE plan_id = 0 GROUP BY 1""",
+        SELECT make_date(year(start_date), month(start_date), 1) AS month_start, count(*) AS nb_trials
+        FROM v_plan_events WHERE plan_id = 0 GROUP BY ALL""",
     "plan_events_after": f"""
-        SELECT plan_name, count(*) AS nb_events FROM v_plan_events WHERE start_date >= {SINCE} GROUP BY plan_name""",
-    "churn_rate": f"""
-        WITH last_plan AS (
-          SELECT customer_id, plan_id,
-                 row_number() OVER (PARTITION BY customer_id ORDER BY start_date DESC, event_id DESC) AS rn
-          FROM v_plan_events)
-        SELECT count(*) FILTER (WHERE plan_id = 4) AS nb_churn, count(*) AS total_customers,
-               {PCT('count(*) FILTER (WHERE plan_id = 4)', 'count(*)', 1)} AS pct_churn
-        FROM last_plan WHERE rn = 1""",
-    "churn_after_trial": f"""{_FIRST_TWO}
-        SELECT count(*) FILTER (WHERE first_plan = 0 AND second_plan = 4) AS nb_churn_after_trial,
-               {PCT('count(*) FILTER (WHERE first_plan = 0 AND second_plan = 4)', 'count(*)', 0)}
-                   AS pct_churn_after_trial
-        FROM ft""",
-    "plan_after_trial": f"""{_FIRST_TWO}
-        SELECT second_plan AS plan_id, count(*) AS nb_customers,
-               {PCT('count(*)', 'sum(count(*)) OVER ()', 1)} AS pct_customers
-        FROM ft WHERE first_plan = 0 AND second_plan IS NOT NULL GROUP BY second_plan""",
+        SELECT plan_name, count(*) AS nb_events FROM v_plan_events WHERE NOT start_date < {SINCE} GROUP BY ALL""",
+    "churn_rate": f"""{_PATHS}
+        SELECT count(*) FILTER (plans[-1] = 4) AS nb_churn, count(*) AS total_customers,
+               {PCT('count(*) FILTER (plans[-1] = 4)', 'count(*)', 1)} AS pct_churn FROM paths""",
+    "churn_after_trial": f"""{_PATHS}
+        SELECT count(*) FILTER (plans[:2] = [0, 4]) AS nb_churn_after_trial,
+               {PCT('count(*) FILTER (plans[:2] = [0, 4])', 'count(*)', 0)} AS pct_churn_after_trial FROM paths""",
+    "plan_after_trial": f"""{_PATHS},
+        nexts AS (SELECT plans[2] AS plan_id, count(*) AS nb_customers FROM paths
+                  WHERE plans[1] = 0 AND len(plans) > 1 GROUP BY ALL)
+        SELECT plan_id, nb_customers, {PCT('nb_customers', '(SELECT sum(nb_customers) FROM nexts)', 1)} AS pct_customers
+        FROM nexts""",
     "plan_mix_at_date": f"""
-        WITH ranked AS (
-          SELECT customer_id, plan_id, plan_name, start_date,
-                 lead(start_date) OVER (PARTITION BY customer_id ORDER BY start_date, event_id) AS next_date,
-                 lead(event_id) OVER (PARTITION BY customer_id ORDER BY start_date, event_id) AS next_id
-          FROM v_plan_events)
-        SELECT plan_id, plan_name, count(*) AS nb_customers, {PCT('count(*)', 'sum(count(*)) OVER ()', 1)} AS pct
-        FROM ranked
-        WHERE {AT} >= start_date AND ({AT} < next_date OR next_date IS NULL)
-        GROUP BY plan_name, plan_id""",
+        WITH held AS (
+          SELECT max({{'d': start_date, 'e': event_id, 'id': plan_id, 'name': plan_name}}) AS plan
+          FROM v_plan_events WHERE start_date <= {AT} GROUP BY customer_id)
+        SELECT plan.id AS plan_id, plan.name AS plan_name, count(*) AS nb_customers,
+               {PCT('count(*)', '(SELECT count(*) FROM held)', 1)} AS pct
+        FROM held GROUP BY ALL""",
     "annual_upgrades_in_year": f"""
-        SELECT count(DISTINCT customer_id) AS nb_annual FROM v_plan_events
-        WHERE plan_id = 3 AND start_date BETWEEN DATE '{YEAR}-01-01' AND DATE '{YEAR}-12-31'""",
-    "avg_days_to_annual": f"""{_DAYS}
-        SELECT {RATIO('sum(jours)', 'count(jours)', 1)} AS avg_days_to_annual FROM d""",
-    "days_to_annual_buckets": f"""{_DAYS},
-    tranches AS (
-      SELECT CASE WHEN jours <= 30 THEN '0-30 days' WHEN jours <= 60 THEN '31-60 days'
-                  WHEN jours <= 90 THEN '61-90 days' WHEN jours <= 120 THEN '91-120 days'
-                  WHEN jours <= 150 THEN '121-150 days' WHEN jours <= 180 THEN '151-180 days'
-                  ELSE 'over 180 days' END AS bucket
-      FROM d)
-        SELECT CAST(min(CASE bucket WHEN '0-30 days' THEN 1 WHEN '31-60 days' THEN 2 WHEN '61-90 days' THEN 3
-                                    WHEN '91-120 days' THEN 4 WHEN '121-150 days' THEN 5 WHEN '151-180 days' THEN 6
-                                    ELSE 7 END) AS INTEGER) AS bucket_order,
-               bucket, count(*) AS nb_customers, {PCT('count(*)', 'sum(count(*)) OVER ()', 1)} AS pct_customers
-        FROM tranches GROUP BY bucket ORDER BY bucket_order""",
+        SELECT count(*) AS nb_annual
+        FROM (SELECT DISTINCT customer_id FROM v_plan_events WHERE plan_id = 3 AND {IN_YEAR})""",
+    "avg_days_to_annual": f"""{_WAITS}
+        SELECT {RATIO('sum(days)', 'count(*)', 1)} AS avg_days_to_annual FROM waits""",
+    "days_to_annual_buckets": f"""{_WAITS},
+        numbered AS (SELECT {_NO} AS bucket_order, count(*) AS nb_customers FROM waits GROUP BY ALL)
+        SELECT bucket_order, {list(_BUCKETS)!r}[bucket_order] AS bucket, nb_customers,
+               {PCT('nb_customers', '(SELECT count(*) FROM waits)', 1)} AS pct_customers FROM numbered""",
     "downgrades_in_year": f"""
-        SELECT count(DISTINCT s1.customer_id) AS nb_downgrades
-        FROM v_plan_events s1 JOIN v_plan_events s2
-          ON s1.customer_id = s2.customer_id AND (s1.start_date, s1.event_id) > (s2.start_date, s2.event_id)
-             AND s1.plan_id = 1 AND s2.plan_id = 2
-        WHERE s1.start_date BETWEEN DATE '{YEAR}-01-01' AND DATE '{YEAR}-12-31'
-          AND NOT EXISTS (
-            SELECT 1 FROM v_plan_events s_mid
-            WHERE s_mid.customer_id = s1.customer_id
-              AND (s_mid.start_date, s_mid.event_id) > (s2.start_date, s2.event_id)
-              AND (s_mid.start_date, s_mid.event_id) < (s1.start_date, s1.event_id))""",
-    "monthly_recurring_revenue": f"""
-        SELECT CAST(date_trunc('month', start_date) AS DATE) AS month, {MONEY('sum(amount)')} AS mrr
-        FROM v_plan_events WHERE plan_id IN (1, 2, 3) GROUP BY 1""",
+        WITH moves AS (
+          SELECT customer_id, start_date, plan_id,
+                 lag(plan_id) OVER (PARTITION BY customer_id ORDER BY start_date, event_id) AS from_plan
+          FROM v_plan_events)
+        SELECT count(DISTINCT customer_id) AS nb_downgrades FROM moves
+        WHERE from_plan = 2 AND plan_id = 1 AND {IN_YEAR}""",
+    "monthly_recurring_revenue": _REVENUE,
     "mrr_growth_rate": f"""
-        WITH m AS (SELECT CAST(date_trunc('month', start_date) AS DATE) AS month, {MONEY('sum(amount)')} AS mrr
-                   FROM v_plan_events WHERE plan_id IN (1, 2, 3) GROUP BY 1)
-        SELECT month, mrr, lag(mrr) OVER (ORDER BY month) AS prev_mrr,
-               {PCT('mrr - lag(mrr) OVER (ORDER BY month)', 'lag(mrr) OVER (ORDER BY month)')} AS growth_pct
-        FROM m""",
+        WITH revenue AS ({_REVENUE}),
+        placed AS (SELECT *, row_number() OVER (ORDER BY month) AS nth FROM revenue)
+        SELECT here.month, here.mrr, before.mrr AS prev_mrr, {PCT('here.mrr - before.mrr', 'before.mrr')} AS growth_pct
+        FROM placed here LEFT JOIN placed before ON before.nth = here.nth - 1""",
 }
 SQL = {k: with_views(v) for k, v in SQL.items()}

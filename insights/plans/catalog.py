@@ -35,84 +35,92 @@ def _reg(key: str, fn: Callable[[Views], DataFrame]) -> None:
 
 
 # ---- case 7 ----------------------------------------------------------------------------------
-for _k, _f in {
-    "total_quantity": B.total_quantity, "gross_revenue": B.gross_revenue, "total_discount": B.total_discount,
-    "unique_transactions": B.unique_transactions, "avg_unique_products_per_txn": B.avg_unique_products_per_txn,
-    "txn_revenue_percentiles": B.txn_revenue_percentiles, "avg_discount_per_txn": B.avg_discount_per_txn,
-    "member_txn_split": B.member_txn_split, "avg_revenue_by_member": B.avg_revenue_by_member,
-}.items():
-    _reg(_k, lambda v, f=_f: f(v.v_sales))
-for _k, _f in {
-    "top_products_by_revenue": B.top_products_by_revenue, "segment_totals": B.segment_totals,
-    "top_product_per_segment": B.top_product_per_segment, "category_totals": B.category_totals,
-    "top_product_per_category": B.top_product_per_category,
-    "product_share_in_segment": B.product_share_in_segment,
-    "segment_share_in_category": B.segment_share_in_category, "category_share": B.category_share,
-    "product_penetration": B.product_penetration, "top_product_triple": B.top_product_triple,
-}.items():
-    _reg(_k, lambda v, f=_f: f(v.v_sales, v.v_product))
-_reg("monthly_sales_report", lambda v: R.monthly_sales_report(v.v_sales, REPORT_YEAR, REPORT_MONTH))
-_reg("monthly_txn_report", lambda v: R.monthly_txn_report(v.v_sales, REPORT_YEAR, REPORT_MONTH))
-for _k in R.PRODUCT_TABLES:
-    _reg(f"monthly_product_report_{_k}",
-         lambda v, k=_k: R.monthly_product_report(v.v_sales, v.v_product, REPORT_YEAR, REPORT_MONTH)[k])
+# the sales columns each key uses: only the tables behind them are read
+MONEY_COLUMNS = ("qty", "price", "discount")
+for _k, _f, _c in (
+    ("total_quantity", B.total_quantity, ("qty",)),
+    ("gross_revenue", B.gross_revenue, ("qty", "price")),
+    ("total_discount", B.total_discount, MONEY_COLUMNS),
+    ("unique_transactions", B.unique_transactions, ("txn_id",)),
+    ("avg_unique_products_per_txn", B.avg_unique_products_per_txn, ("txn_id", "prod_id")),
+    ("txn_revenue_percentiles", B.txn_revenue_percentiles, ("txn_id", *MONEY_COLUMNS)),
+    ("avg_discount_per_txn", B.avg_discount_per_txn, ("txn_id", *MONEY_COLUMNS)),
+    ("member_txn_split", B.member_txn_split, ("txn_id", "member")),
+    ("avg_revenue_by_member", B.avg_revenue_by_member, ("txn_id", "member", *MONEY_COLUMNS)),
+):
+    _reg(_k, lambda v, f=_f, c=_c: f(v.sales(*c)))
+PRODUCT_COLUMNS = {k: ("prod_id", *MONEY_COLUMNS) for k in R.PRODUCT_TABLES} | {
+    "top_product_per_segment": ("prod_id", "qty"), "top_product_per_category": ("prod_id", "qty"),
+    "product_penetration": ("prod_id", "txn_id"), "top_product_triple": ("prod_id", "txn_id"),
+}
+for _k, _f in R.PRODUCT_TABLES.items():
+    _reg("top_products_by_revenue" if _k == "top_products" else _k,
+         lambda v, f=_f, c=PRODUCT_COLUMNS[_k]: f(v.sales(*c), v.v_product))
+    _reg(f"monthly_product_report_{_k}", lambda v, f=_f, c=PRODUCT_COLUMNS[_k]: f(
+        R.sales_in_month(v.sales(*c, "start_txn_time"), REPORT_YEAR, REPORT_MONTH), v.v_product))
+_reg("monthly_sales_report", lambda v: R.monthly_sales_report(
+    v.sales(*MONEY_COLUMNS, "start_txn_time"), REPORT_YEAR, REPORT_MONTH))
+_reg("monthly_txn_report", lambda v: R.monthly_txn_report(
+    v.sales("txn_id", "prod_id", "member", *MONEY_COLUMNS, "start_txn_time"), REPORT_YEAR, REPORT_MONTH))
 _reg("flatten_hierarchy", lambda v: B.flatten_hierarchy(v.v_hierarchy))
 
 
 # ---- case 1 ----------------------------------------------------------------------------------
 BONUS_IDS = (1,)
+SALE = ("customer_id", "order_date", "prod_id", "txn_id", "line_no")  # the menu carries the price
 POINTS_END = dt.date(1996, 1, 31)
-_reg("spend_per_customer", lambda v: L.spend_per_customer(v.v_sales, v.v_product))
-_reg("visit_days", lambda v: L.visit_days(v.v_sales))
-_reg("first_purchase_items", lambda v: L.first_purchase_items(v.v_sales, v.v_product))
-_reg("most_purchased_item", lambda v: L.most_purchased_item(v.v_sales, v.v_product))
-_reg("favourite_item_per_customer", lambda v: L.favourite_item_per_customer(v.v_sales, v.v_product))
-_reg("first_item_after_join", lambda v: L.first_item_after_join(v.v_sales, v.v_product, v.v_members))
-_reg("last_item_before_join", lambda v: L.last_item_before_join(v.v_sales, v.v_product, v.v_members))
-_reg("pre_join_totals", lambda v: L.pre_join_totals(v.v_sales, v.v_product, v.v_members))
-_reg("loyalty_points", lambda v: L.loyalty_points(v.v_sales, v.v_product, BONUS_IDS))
+_reg("spend_per_customer", lambda v: L.spend_per_customer(v.sales("customer_id", "prod_id"), v.v_product))
+_reg("visit_days", lambda v: L.visit_days(v.sales("customer_id", "order_date")))
+_reg("first_purchase_items", lambda v: L.first_purchase_items(v.sales("customer_id", "order_date", "prod_id"), v.v_product))
+_reg("most_purchased_item", lambda v: L.most_purchased_item(v.sales("prod_id"), v.v_product))
+_reg("favourite_item_per_customer", lambda v: L.favourite_item_per_customer(v.sales("customer_id", "prod_id"), v.v_product))
+_reg("first_item_after_join", lambda v: L.first_item_after_join(v.sales(*SALE), v.v_product, v.v_members))
+_reg("last_item_before_join", lambda v: L.last_item_before_join(v.sales(*SALE), v.v_product, v.v_members))
+_reg("pre_join_totals", lambda v: L.pre_join_totals(v.sales(*SALE), v.v_product, v.v_members))
+_reg("loyalty_points", lambda v: L.loyalty_points(v.sales(*SALE), v.v_product, BONUS_IDS))
 _reg("loyalty_points_first_week",
-     lambda v: L.loyalty_points_first_week(v.v_sales, v.v_product, v.v_members, POINTS_END, None, BONUS_IDS))
-_reg("joined_sales_flag", lambda v: L.joined_sales_flag(v.v_sales, v.v_product, v.v_members))
-_reg("member_ranked_sales", lambda v: L.member_ranked_sales(v.v_sales, v.v_product, v.v_members))
+     lambda v: L.loyalty_points_first_week(v.sales(*SALE), v.v_product, v.v_members, POINTS_END, None, BONUS_IDS))
+_reg("joined_sales_flag", lambda v: L.joined_sales_flag(v.sales(*SALE), v.v_product, v.v_members))
+_reg("member_ranked_sales", lambda v: L.member_ranked_sales(v.sales(*SALE), v.v_product, v.v_members))
 
 
 # ---- case 2 ----------------------------------------------------------------------------------
 # standard_ingredients and menu_extension read only the fixed recipe/topping
 # dimensions, so they are library functions (tested in tests/) and not registered.
-_reg("items_ordered", lambda v: D.items_ordered(v.v_items_messy))
-_reg("unique_customers_ordering", lambda v: D.unique_customers_ordering(v.v_items_messy))
+ITEM = ("order_id", "item_no", "pizza_id", "exclusions", "extras")
+_reg("items_ordered", lambda v: D.items_ordered(v.items("pizza_id")))
+_reg("unique_customers_ordering", lambda v: D.unique_customers_ordering(v.items("order_id")))
 _reg("delivered_per_runner", lambda v: D.delivered_per_runner(v.v_orders_messy))
-_reg("delivered_by_type", lambda v: D.delivered_by_type(v.v_items_messy, v.v_orders_messy, v.v_recipes))
+_reg("delivered_by_type", lambda v: D.delivered_by_type(v.items("order_id", "pizza_id"), v.v_orders_messy, v.v_recipes))
 _reg("type_counts_per_customer", lambda v: D.type_counts_per_customer(v.v_items_messy, v.v_recipes))
-_reg("largest_delivered_orders", lambda v: D.largest_delivered_orders(v.v_items_messy, v.v_orders_messy))
+_reg("largest_delivered_orders", lambda v: D.largest_delivered_orders(v.items("order_id", "pizza_id"), v.v_orders_messy))
 _reg("changed_vs_unchanged_per_customer",
      lambda v: D.changed_vs_unchanged_per_customer(v.v_items_messy, v.v_orders_messy))
-_reg("items_with_both_changes", lambda v: D.items_with_both_changes(v.v_items_messy, v.v_orders_messy))
+_reg("items_with_both_changes", lambda v: D.items_with_both_changes(v.items("order_id", "exclusions", "extras"), v.v_orders_messy))
 _reg("volume_by_date_hour", lambda v: D.volume_by_date_hour(v.v_items_messy))
 _reg("volume_by_weekday", lambda v: D.volume_by_weekday(v.v_items_messy))
-_reg("top_extra", lambda v: D.top_extra(v.v_items_messy, v.v_toppings))
-_reg("top_exclusion", lambda v: D.top_exclusion(v.v_items_messy, v.v_toppings))
-_reg("order_item_label", lambda v: D.order_item_label(v.v_items_messy, v.v_recipes, v.v_toppings))
-_reg("ingredient_list_2x", lambda v: D.ingredient_list_2x(v.v_items_messy, v.v_recipes, v.v_toppings))
+_reg("top_extra", lambda v: D.top_extra(v.items("extras"), v.v_toppings))
+_reg("top_exclusion", lambda v: D.top_exclusion(v.items("exclusions"), v.v_toppings))
+_reg("order_item_label", lambda v: D.order_item_label(v.items(*ITEM), v.v_recipes, v.v_toppings))
+_reg("ingredient_list_2x", lambda v: D.ingredient_list_2x(v.items(*ITEM), v.v_recipes, v.v_toppings))
 _reg("ingredient_usage",
-     lambda v: D.ingredient_usage(v.v_items_messy, v.v_orders_messy, v.v_recipes, v.v_toppings))
+     lambda v: D.ingredient_usage(v.items(*ITEM), v.v_orders_messy, v.v_recipes, v.v_toppings))
 _reg("weekly_signups", lambda v: D.weekly_signups(v.v_runners))
 _reg("pickup_minutes", lambda v: D.pickup_minutes(v.v_orders_messy))
-_reg("prep_time_vs_size", lambda v: D.prep_time_vs_size(v.v_items_messy, v.v_orders_messy))
+_reg("prep_time_vs_size", lambda v: D.prep_time_vs_size(v.items("order_id", "pizza_id"), v.v_orders_messy))
 _reg("avg_distance_per_customer", lambda v: D.avg_distance_per_customer(v.v_orders_messy))
 _reg("delivery_time_range", lambda v: D.delivery_time_range(v.v_orders_messy))
 _reg("delivery_speed", lambda v: D.delivery_speed(v.v_orders_messy))
 _reg("delivery_success_pct", lambda v: D.delivery_success_pct(v.v_orders_messy))
-_reg("revenue_fixed_price", lambda v: D.revenue_fixed_price(v.v_items_messy, v.v_orders_messy, v.v_recipes))
-_reg("revenue_with_extras", lambda v: D.revenue_with_extras(v.v_items_messy, v.v_orders_messy, v.v_recipes))
+_reg("revenue_fixed_price", lambda v: D.revenue_fixed_price(v.items("order_id", "pizza_id"), v.v_orders_messy, v.v_recipes))
+_reg("revenue_with_extras", lambda v: D.revenue_with_extras(v.items("order_id", "pizza_id", "extras"), v.v_orders_messy, v.v_recipes))
 _reg("net_profit_after_distance",
-     lambda v: D.net_profit_after_distance(v.v_items_messy, v.v_orders_messy, v.v_recipes))
+     lambda v: D.net_profit_after_distance(v.items("order_id", "pizza_id"), v.v_orders_messy, v.v_recipes))
 _reg("ratings_quality_report", lambda v: D.ratings_quality_report(v.v_ratings, v.v_orders_messy, v.t.customer))
 
 
 # ---- case 3 ----------------------------------------------------------------------------------
-JOURNEY_CUSTOMERS = (1, 2, 11, 13, 15, 16, 18, 19)
+JOURNEY_CUSTOMERS = (1, 4, 7, 10, 22, 25, 31, 40)
 EVENTS_SINCE = dt.date(2000, 1, 1)
 MIX_AT = dt.date(1996, 12, 31)
 PLAN_YEAR = 1997
@@ -133,9 +141,9 @@ _reg("mrr_growth_rate", lambda v: S.mrr_growth_rate(v.v_plan_events))
 
 
 # ---- case 4 ----------------------------------------------------------------------------------
-_reg("unique_nodes", lambda v: K.unique_nodes(v.v_node_stays))
-_reg("nodes_per_region", lambda v: K.nodes_per_region(v.v_node_stays, v.v_regions))
-_reg("customers_per_region", lambda v: K.customers_per_region(v.v_node_stays, v.v_regions))
+_reg("unique_nodes", lambda v: K.unique_nodes(v.v_nodes))
+_reg("nodes_per_region", lambda v: K.nodes_per_region(v.v_nodes, v.v_regions))
+_reg("customers_per_region", lambda v: K.customers_per_region(v.v_nodes, v.v_regions))
 _reg("avg_stay_days", lambda v: K.avg_stay_days(v.v_node_stays))
 _reg("stay_percentiles_by_region", lambda v: K.stay_percentiles_by_region(v.v_node_stays, v.v_regions))
 _reg("txn_type_totals", lambda v: K.txn_type_totals(v.v_txns_monthly))
@@ -153,24 +161,15 @@ _reg("allocation_realtime", lambda v: K.allocation_realtime(v.v_txns_daily))
 
 # ---- case 5 ----------------------------------------------------------------------------------
 EVENT_WEEK = dt.date(1997, 6, 16)
-# one (year, platform, segment, customer type) slice, so that some weeks are missing
-MISSING_WEEKS_SLICE = {"calendar_year": 1997, "platform": "Shopify", "segment": "C1", "customer_type": "BUILDING"}
 
 
 def _clean(v):
     return I.clean_weekly_sales(v.v_weekly_raw)
 
 
-def _slice(df, cond):
-    from pyspark.sql import functions as F
-    for c, x in cond.items():
-        df = df.filter(F.col(c) == x)
-    return df
-
-
 _reg("clean_weekly_sales", _clean)
 _reg("weekdays_used", lambda v: I.weekdays_used(_clean(v)))
-_reg("missing_weeks", lambda v: I.missing_weeks(_slice(_clean(v), MISSING_WEEKS_SLICE)))
+_reg("missing_weeks", lambda v: I.missing_weeks(_clean(v)))
 _reg("transactions_per_year", lambda v: I.transactions_per_year(_clean(v)))
 _reg("sales_by_region_month", lambda v: I.sales_by_region_month(_clean(v)))
 _reg("transactions_by_platform", lambda v: I.transactions_by_platform(_clean(v)))

@@ -87,25 +87,28 @@ class Views:
         return self
 
     # ---- case 1 and 7: sales, products, members ---------------------------------------
+    def sales(self, *columns: str) -> DataFrame:
+        """Sales with the asked columns (all by default), joining only the tables that carry them:
+        every line has its order, part and customer, so a table that gives no column changes nothing."""
+        of = {
+            "txn_id": F.col("l_orderkey"), "line_no": F.col("l_linenumber"), "customer_id": F.col("o_custkey"),
+            "prod_id": F.col("l_partkey"), "qty": F.col("l_quantity").cast("int"), "price": _money("p_retailprice"),
+            "discount": F.round(F.col("l_discount") * 100).cast("int"), "order_date": F.col("o_orderdate").cast("date"),
+            "start_txn_time": F.col("o_orderdate"), "member": F.col("c_mktsegment") == "BUILDING",
+        }
+        asked = columns or tuple(of)
+        df = self.t.lineitem
+        if {"customer_id", "order_date", "start_txn_time", "member"} & set(asked):
+            df = df.join(self.t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        if "price" in asked:
+            df = df.join(self.t.part, F.col("l_partkey") == F.col("p_partkey"))
+        if "member" in asked:
+            df = df.join(self.t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        return df.select(*[of[c].alias(c) for c in asked])
+
     @cached_property
     def v_sales(self) -> DataFrame:
-        li = self.t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount")
-        o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-        p = self.t.part.select("p_partkey", "p_retailprice")
-        c = self.t.customer.select("c_custkey", "c_mktsegment")
-        return (li.join(o, li.l_orderkey == o.o_orderkey)
-                .join(p, li.l_partkey == p.p_partkey)
-                .join(c, o.o_custkey == c.c_custkey)
-                .select(F.col("l_orderkey").alias("txn_id"),
-                        F.col("l_linenumber").alias("line_no"),
-                        F.col("o_custkey").alias("customer_id"),
-                        F.col("l_partkey").alias("prod_id"),
-                        F.col("l_quantity").cast("int").alias("qty"),
-                        _money("p_retailprice").alias("price"),
-                        F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
-                        F.col("o_orderdate").cast("date").alias("order_date"),
-                        F.col("o_orderdate").alias("start_txn_time"),
-                        (F.col("c_mktsegment") == "BUILDING").alias("member")))
+        return self.sales()
 
     @cached_property
     def v_product(self) -> DataFrame:
@@ -147,23 +150,25 @@ class Views:
             F.when(cancelled, F.lit("Customer Cancellation"))
              .when(k % 3 == 0, F.lit("null")).when(k % 3 == 1, F.lit("")).alias("cancellation"))
 
-    @cached_property
-    def v_items_messy(self) -> DataFrame:
-        li = self.t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    def items(self, *columns: str) -> DataFrame:
+        """Ordered items with the asked columns (all by default); orders are joined only for theirs."""
         p, s = F.col("l_partkey"), F.col("l_suppkey")
         excl = (F.when(p % 4 == 0, F.lit("null")).when(p % 4 == 1, F.lit(""))
                 .when(p % 4 == 2, F.concat((p % 12 + 1).cast("string"), F.lit(", "),
                                            ((p + 5) % 12 + 1).cast("string"))))
         extra = (F.when(s % 4 == 0, F.lit("null")).when(s % 4 == 1, F.lit(""))
                  .when(s % 4 == 2, (s % 12 + 1).cast("string")))
-        return (li.join(o, li.l_orderkey == o.o_orderkey)
-                .select(F.col("l_orderkey").alias("order_id"),
-                        F.col("l_linenumber").alias("item_no"),
-                        F.col("o_custkey").alias("customer_id"),
-                        (p % 3 + 1).cast("int").alias("pizza_id"),
-                        excl.alias("exclusions"), extra.alias("extras"),
-                        _order_time().alias("order_time")))
+        of = {"order_id": F.col("l_orderkey"), "item_no": F.col("l_linenumber"), "customer_id": F.col("o_custkey"),
+              "pizza_id": (p % 3 + 1).cast("int"), "exclusions": excl, "extras": extra, "order_time": _order_time()}
+        asked = columns or tuple(of)
+        df = self.t.lineitem
+        if {"customer_id", "order_time"} & set(asked):
+            df = df.join(self.t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return df.select(*[of[c].alias(c) for c in asked])
+
+    @cached_property
+    def v_items_messy(self) -> DataFrame:
+        return self.items()
 
     @cached_property
     def v_recipes(self) -> DataFrame:
@@ -200,6 +205,14 @@ class Views:
             _money("o_totalprice").alias("amount"))
 
     # ---- case 4: bank ----------------------------------------------------------------------
+    @cached_property
+    def v_nodes(self) -> DataFrame:
+        """Customer, region and node of every stay, without its dates."""
+        return (self.t.orders.join(self.t.customer, F.col("o_custkey") == F.col("c_custkey"))
+                .join(self.t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+                .select(F.col("o_custkey").alias("customer_id"), F.col("n_regionkey").alias("region_id"),
+                        (F.col("o_orderkey") % 5 + 1).alias("node_id")))
+
     @cached_property
     def v_node_stays(self) -> DataFrame:
         """One stay per order; a stay ends when the customer's next order starts.
@@ -275,15 +288,13 @@ class Views:
         et = F.col("event_type")
         code = (F.when(et == "view", 1).when(et == "click", 2).when(et == "purchase", 3)
                 .when(et == "signup", 4).when(et == "error", 5))
-        w = Window.partitionBy("visit_id").orderBy("event_time", "event_id")
         return (e.select(visit.alias("visit_id"),
                          F.concat(F.col("user_id").cast("string"), F.lit("-"),
                                   (F.col("event_id") % 3).cast("string")).alias("cookie_id"),
                          (F.regexp_extract("props", "[0-9]+", 0).cast("int") % 13 + 1).alias("page_id"),
                          code.alias("event_type"),
                          F.col("ts").alias("event_time"),
-                         "event_id")
-                .withColumn("sequence_number", F.row_number().over(w)))
+                         "event_id"))
 
     @cached_property
     def v_users(self) -> DataFrame:

@@ -62,37 +62,29 @@ def test_top_k_per_group_ties(spark):
 
 def test_exact_quantiles_match_percentile(spark):
     rnd = random.Random(3)
-    # skewed: a third of the rows share one value, the rest spread with duplicates
-    vals = [500 if rnd.random() < 0.33 else rnd.randint(0, 2000) for _ in range(3001)]
-    df = spark.createDataFrame([(v,) for v in vals], "s long")
     probs, names = [0.0, 0.25, 0.5, 0.8, 0.95, 1.0], ["a", "b", "c", "d", "e", "f"]
-    got = P.exact_quantiles(df, "s", probs, names, partitions=7).collect()[0]
-    want = df.agg(*[F.percentile("s", p).alias(n) for p, n in zip(probs, names)]).collect()[0]
-    assert [got[n] for n in names] == [want[n] for n in names]
+    for hot, n in ((0.33, 3001), (0.9, 2000), (0.0, 1), (0.0, 2), (0.5, 4)):
+        vals = [500 if rnd.random() < hot else rnd.randint(-2000, 2000) for _ in range(n)] + [None]
+        df = spark.createDataFrame([(v,) for v in vals], "s long")
+        got = P.exact_quantiles(df, "s", probs, names).collect()[0]
+        want = df.agg(*[F.percentile("s", p).alias(n) for p, n in zip(probs, names)]).collect()[0]
+        assert [got[n] for n in names] == [want[n] for n in names]
 
 
-def test_global_order_is_dense_and_sorted(spark):
+def test_previous_by_equals_lag(spark):
     rnd = random.Random(11)
-    data = [("hot" if rnd.random() < 0.4 else f"c{rnd.randint(0, 30)}", rnd.randint(0, 50), i) for i in range(2000)]
-    df = spark.createDataFrame(data, "k string, d int, i int")
-    got = P.global_order(df, ["k", "d", "i"], partitions=9).collect()
-    assert sorted(r.grank for r in got) == list(range(len(data)))
-    by_rank = [(r.k, r.d, r.i) for r in sorted(got, key=lambda r: r.grank)]
-    assert by_rank == sorted(data)
-
-
-def test_materialize_without_checkpoint_dir(spark, monkeypatch):
-    from insights.plans import sinks
-
-    def no_dir(_spark):
-        raise RuntimeError("unset")
-
-    monkeypatch.setattr(sinks, "checkpoint_root", no_dir)
-    df = spark.createDataFrame([(v,) for v in [5, 1, 9, 3, 7]], "s long")
-    q = P.exact_quantiles(df, "s", [0.5, 0.75], ["m", "u"], partitions=3).collect()[0]
-    assert (q.m, q.u) == (5.0, 7.0)
-    g = P.global_order(df, ["s"], partitions=2).collect()
-    assert sorted((r.grank, r.s) for r in g) == [(0, 1), (1, 3), (2, 5), (3, 7), (4, 9)]
+    data = [("hot" if rnd.random() < 0.4 else f"c{rnd.randint(0, 30)}", rnd.randint(0, 50), i, rnd.randint(0, 4))
+            for i in range(1500)]
+    df = spark.createDataFrame(data, "k string, d int, i int, p int")
+    want = df.withColumn("was", F.lag("p").over(Window.partitionBy("k").orderBy("d", "i")))
+    got = P.previous_by(df, "k", "d", "i", "p", "was")
+    cols = ["k", "d", "i", "p", "was"]
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(_rows_any(got, cols), key=key) == sorted(_rows_any(want, cols), key=key)
+
+
+def _rows_any(df, cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
 
 
 def test_recommended_conf_scales_partitions(spark):

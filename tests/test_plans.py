@@ -46,3 +46,34 @@ def test_no_nested_loop_join_except_allowed(views001):
         if "BroadcastNestedLoopJoin" in plan(f(views001)):
             bad.append(k)
     assert bad == []
+
+
+# tables that each of these keys may read: a sales column pulls in the table that carries it, and no other
+SCANS = {
+    "total_quantity": {"lineitem"}, "unique_transactions": {"lineitem"}, "gross_revenue": {"lineitem", "part"},
+    "top_product_per_segment": {"lineitem", "part"}, "segment_totals": {"lineitem", "part"},
+    "product_penetration": {"lineitem", "part"}, "top_product_triple": {"lineitem", "part"},
+    "visit_days": {"lineitem", "orders"}, "loyalty_points": {"lineitem", "orders", "part"},
+    "member_txn_split": {"lineitem", "orders", "customer"}, "items_ordered": {"lineitem"}, "top_extra": {"lineitem"},
+    "revenue_fixed_price": {"lineitem", "orders"}, "unique_nodes": {"orders", "customer", "nation"},
+    "monthly_product_report_category_share": {"lineitem", "orders", "part"},
+}
+
+
+def test_keys_read_only_the_tables_of_their_columns(views001):
+    import re
+    for key, tables in SCANS.items():
+        assert set(re.findall(r"sf0\.001/(\w+)\.parquet", plan(QUERIES[key](views001)))) == tables, key
+
+
+def test_building_a_query_starts_no_job(spark, views001):
+    for name in ("lineitem", "orders", "part", "customer", "nation", "region", "supplier", "events"):
+        views001.t.table(name)  # reading a schema is a job of its own
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "plans only")
+    try:
+        for f in QUERIES.values():
+            f(views001)
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
