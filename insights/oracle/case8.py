@@ -35,6 +35,11 @@ def _q(sql: str) -> str:
     return f"WITH {BASE.strip()}\n{sql}"
 
 
+# keys that ask which interests cover which months read the thinned view
+SPARSE = ("ids_missing_in_map", "ids_missing_in_metrics", "interests_in_all_months", "cumulative_pct_by_months",
+          "rows_removed_below_threshold", "unique_interests_per_month", "qualified_interests")
+
+
 def _ends(side: str, order: str) -> str:
     return f"""SELECT '{side}' AS category, interest_name, month_year, composition FROM peaks
                WHERE (SELECT count(*) FROM peaks p WHERE p.composition {order} peaks.composition) < 10"""
@@ -113,4 +118,5 @@ SQL = {
         WHERE now.month_year BETWEEN {START} AND {END} GROUP BY ALL"""),
     "qualified_interests": _q("SELECT interest_id, months AS month_count FROM coverage WHERE months > 5"),
 }
-SQL = {k: with_views(v, "v_interest", "v_interest_map") for k, v in SQL.items()}
+SQL = {k: with_views(v.replace("FROM v_interest)", "FROM v_interest_sparse)"), "v_interest_sparse", "v_interest_map")
+       if k in SPARSE else with_views(v, "v_interest", "v_interest_map") for k, v in SQL.items()}

@@ -150,41 +150,44 @@ VIEW_SQL: dict[str, str] = {
         UNION ALL
         SELECT 'S' || CAST(s_suppkey AS VARCHAR), 'N' || CAST(s_nationkey AS VARCHAR), 'Supplier', s_name,
                CAST(s_acctbal AS {MONEY}) FROM supplier""",
-    "v_interest": f"""
-        SELECT CASE WHEN iid % 29 = 0 THEN NULL ELSE strftime(month, '%m-%Y') END AS month_year,
-               CAST(iid AS VARCHAR) AS interest_id,
-               comp_int / 10000.0 AS composition,
-               index_value,
-               CAST(rank() OVER (PARTITION BY month ORDER BY rev DESC, iid) AS INTEGER) AS ranking,
-               round(10000.0 * (1 - CAST(rank() OVER (PARTITION BY month ORDER BY rev DESC, iid) - 1 AS DOUBLE)
-                                    / CAST(count(*) OVER (PARTITION BY month) AS DOUBLE))) / 100.0
-                   AS percentile_ranking
-        FROM (
-          SELECT *, round(100.0 * CAST(comp_int * count(*) OVER (PARTITION BY month) AS DOUBLE)
-                          / CAST(sum(comp_int) OVER (PARTITION BY month) AS DOUBLE)) / 100.0 AS index_value
-          FROM (
-            SELECT month, iid, rev,
-                   CAST(round(1000000.0 * CAST(rev AS DOUBLE)
-                              / CAST(sum(rev) OVER (PARTITION BY month) AS DOUBLE)) AS BIGINT) AS comp_int
-            FROM (
-              SELECT CAST(date_trunc('month', CAST(l_shipdate AS DATE)) AS DATE) AS month,
-                     CAST(substr(p_brand, 7) AS INTEGER) * 10 + p_size % 6 AS iid,
-                     sum(CAST(l_extendedprice AS {MONEY})) AS rev
-              FROM lineitem JOIN part ON l_partkey = p_partkey
-              GROUP BY 1, 2) m) s) x
-        WHERE iid % 10 < 4
-           OR (iid % 10 = 4 AND year(month) = 1997)
-           OR (iid % 10 = 5 AND month BETWEEN DATE '1996-01-01' AND DATE '1996-04-01')""",
     "v_interest_map": """
         SELECT id, 'Interest ' || CAST(id AS VARCHAR) AS interest_name,
                'Summary of interest ' || CAST(id AS VARCHAR) AS interest_summary,
                TIMESTAMP '1996-06-15 00:00:00' AS created_at, TIMESTAMP '1996-06-15 00:00:00' AS last_modified
-        FROM (SELECT DISTINCT CAST(interest_id AS INTEGER) AS id FROM v_interest
-              WHERE CAST(interest_id AS INTEGER) % 17 <> 0
-              UNION ALL SELECT CAST(range AS INTEGER) FROM range(9001, 9006))""",
+        FROM (SELECT DISTINCT CAST(CAST(substr(p_brand, 7) AS INTEGER) * 10 + p_size % 6 AS INTEGER) AS id FROM part
+              WHERE (CAST(substr(p_brand, 7) AS INTEGER) * 10 + p_size % 6) % 17 <> 0
+              UNION ALL SELECT CAST(least(range, 9005) AS INTEGER) FROM range(9001, 9008))""",
 }
 
 
+def _interest(keep: str) -> str:
+    return f"""
+        WITH sold_by_month AS (
+          SELECT CAST(date_trunc('month', CAST(l_shipdate AS DATE)) AS DATE) AS month,
+                 CAST(substr(p_brand, 7) AS INTEGER) * 10 + p_size % 6 AS iid,
+                 sum(CAST(l_extendedprice AS {MONEY})) AS rev, sum(CAST(l_quantity AS INTEGER)) AS sold
+          FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+        totals AS (SELECT month, sum(rev) AS rev_all, sum(sold) AS sold_all, count(*) AS n FROM sold_by_month GROUP BY month),
+        measured AS (
+          SELECT month, iid, rev,
+                 CAST(round(1000000.0 * CAST(rev AS DOUBLE) / CAST(rev_all AS DOUBLE)) AS BIGINT) / 10000.0 AS composition,
+                 round(100.0 * CAST(sold * n AS DOUBLE) / CAST(sold_all AS DOUBLE)) / 100.0 AS index_value
+          FROM sold_by_month JOIN totals USING (month) WHERE {keep}),
+        placed AS (
+          SELECT *, rank() OVER (PARTITION BY month ORDER BY rev DESC, iid) AS place,
+                 count(*) OVER (PARTITION BY month) AS places FROM measured)
+        SELECT if(iid % 29 = 0, NULL, strftime(month, '%m-%Y')) AS month_year, CAST(iid AS VARCHAR) AS interest_id,
+               composition, index_value, CAST(place AS INTEGER) AS ranking,
+               round(10000.0 * (1 - CAST(place - 1 AS DOUBLE) / CAST(places AS DOUBLE))) / 100.0 AS percentile_ranking
+        FROM placed"""
+
+
+VIEW_SQL["v_interest"] = _interest("true")
+VIEW_SQL["v_interest_sparse"] = _interest(
+    "iid % 10 < 4 OR (iid % 10 = 4 AND year(month) = 1997)"
+    " OR (iid % 10 = 5 AND month BETWEEN DATE '1996-01-01' AND DATE '1996-04-01')")
+
+
 def _deps(name: str) -> list[str]:
     body = VIEW_SQL[name]
     return [v for v in VIEW_SQL if v != name and re.search(rf"\b{v}\b", body)]

@@ -225,18 +225,22 @@ def _filtered(v):
     return G.drop_null_months(_typed(v))
 
 
+def _sparse(v):
+    return G.drop_null_months(G.month_year_to_date(v.v_interest_sparse))
+
+
 _reg("month_year_to_date", _typed)
 _reg("records_per_month", lambda v: G.records_per_month(_typed(v)))
 _reg("drop_null_months", _filtered)
-_reg("ids_missing_in_map", lambda v: G.ids_missing_in_map(_filtered(v), v.v_interest_map))
-_reg("ids_missing_in_metrics", lambda v: G.ids_missing_in_metrics(_filtered(v), v.v_interest_map))
+_reg("ids_missing_in_map", lambda v: G.ids_missing_in_map(_sparse(v), v.v_interest_map))
+_reg("ids_missing_in_metrics", lambda v: G.ids_missing_in_metrics(_sparse(v), v.v_interest_map))
 _reg("map_duplicate_check", lambda v: G.map_duplicate_check(v.v_interest_map))
 _reg("joined_interest_rows", lambda v: G.joined_interest_rows(_filtered(v), v.v_interest_map, INTEREST_ID))
 _reg("records_before_creation", lambda v: G.records_before_creation(_filtered(v), v.v_interest_map))
-_reg("interests_in_all_months", lambda v: G.interests_in_all_months(_filtered(v), v.v_interest_map))
-_reg("cumulative_pct_by_months", lambda v: G.cumulative_pct_by_months(_filtered(v)))
-_reg("rows_removed_below_threshold", lambda v: G.rows_removed_below_threshold(_filtered(v)))
-_reg("unique_interests_per_month", lambda v: G.unique_interests_per_month(_filtered(v)))
+_reg("interests_in_all_months", lambda v: G.interests_in_all_months(_sparse(v), v.v_interest_map))
+_reg("cumulative_pct_by_months", lambda v: G.cumulative_pct_by_months(_sparse(v)))
+_reg("rows_removed_below_threshold", lambda v: G.rows_removed_below_threshold(_sparse(v)))
+_reg("unique_interests_per_month", lambda v: G.unique_interests_per_month(_sparse(v)))
 _reg("top_bottom_composition", lambda v: G.top_bottom_composition(_filtered(v), v.v_interest_map))
 _reg("lowest_avg_ranking", lambda v: G.lowest_avg_ranking(_filtered(v), v.v_interest_map))
 _reg("most_volatile_interests", lambda v: G.most_volatile_interests(_filtered(v), v.v_interest_map))
@@ -246,4 +250,4 @@ _reg("top10_appearances", lambda v: G.top10_appearances(_filtered(v), v.v_intere
 _reg("avg_of_top10_per_month", lambda v: G.avg_of_top10_per_month(_filtered(v), v.v_interest_map))
 _reg("rolling_max_composition",
      lambda v: G.rolling_max_composition(_filtered(v), v.v_interest_map, ROLLING_FROM, ROLLING_TO))
-_reg("qualified_interests", lambda v: G.qualified_interests(_filtered(v)))
+_reg("qualified_interests", lambda v: G.qualified_interests(_sparse(v)))

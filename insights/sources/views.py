@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import Tables
@@ -338,27 +338,23 @@ class Views:
         return r.unionByName(n).unionByName(s)
 
     # ---- case 8: interest segments ------------------------------------------------------------------
-    @cached_property
-    def v_interest(self) -> DataFrame:
-        li = self.t.lineitem.select("l_partkey", "l_extendedprice", "l_shipdate")
+    def _interest(self, keep: Column | None) -> DataFrame:
+        """Monthly interest metrics: composition from revenue, index from quantity; ``keep`` thins the rows."""
+        li = self.t.lineitem.select("l_partkey", "l_extendedprice", "l_quantity", "l_shipdate")
         p = self.t.part.select("p_partkey", "p_brand", "p_size")
         iid = F.substring("p_brand", 7, 10).cast("int") * 10 + F.col("p_size") % 6
         monthly = (li.join(p, li.l_partkey == p.p_partkey)
                    .groupBy(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"), iid.alias("iid"))
-                   .agg(F.sum(_money("l_extendedprice")).alias("rev")))
+                   .agg(F.sum(_money("l_extendedprice")).alias("rev"), F.sum(F.col("l_quantity").cast("int")).alias("sold")))
         wm = Window.partitionBy("month")
         comp_int = F.round(F.lit(1000000.0) * F.col("rev").cast("double")
                            / F.sum("rev").over(wm).cast("double")).cast("bigint")
         shares = (monthly.withColumn("comp_int", comp_int)
                   .withColumn("index_value", F.round(
-                      F.lit(100.0) * (F.col("comp_int") * F.count(F.lit(1)).over(wm)).cast("double")
-                      / F.sum("comp_int").over(wm).cast("double")) / 100.0)
+                      F.lit(100.0) * (F.col("sold") * F.count(F.lit(1)).over(wm)).cast("double")
+                      / F.sum("sold").over(wm).cast("double")) / 100.0)
                   .withColumn("composition", F.col("comp_int") / 10000.0))
-        last = F.col("iid") % 10
-        kept = shares.filter((last < 4)
-                             | ((last == 4) & (F.year("month") == 1997))
-                             | ((last == 5) & F.col("month").between(F.lit("1996-01-01").cast("date"),
-                                                                      F.lit("1996-04-01").cast("date"))))
+        kept = shares if keep is None else shares.filter(keep)
         wr = Window.partitionBy("month").orderBy(F.col("rev").desc(), F.col("iid"))
         ranked = (kept.withColumn("ranking", F.rank().over(wr))
                   .withColumn("n", F.count(F.lit(1)).over(wm)))
@@ -370,11 +366,25 @@ class Views:
             (F.round(F.lit(10000.0) * (1 - (F.col("ranking") - 1).cast("double") / F.col("n").cast("double")))
              / 100.0).alias("percentile_ranking"))
 
+    @cached_property
+    def v_interest(self) -> DataFrame:
+        return self._interest(None)
+
+    @cached_property
+    def v_interest_sparse(self) -> DataFrame:
+        """Some interests cover a year or four months only: for the keys that ask about coverage."""
+        last = F.col("iid") % 10
+        return self._interest((last < 4) | ((last == 4) & (F.year("month") == 1997))
+                              | ((last == 5) & F.col("month").between(F.lit("1996-01-01").cast("date"),
+                                                                       F.lit("1996-04-01").cast("date"))))
+
     @cached_property
     def v_interest_map(self) -> DataFrame:
-        ids = (self.v_interest.select(F.col("interest_id").cast("int").alias("id")).distinct()
-               .filter(F.col("id") % 17 != 0)
-               .unionByName(self.spark.range(9001, 9006).select(F.col("id").cast("int").alias("id"))))
+        """Names of the interests that parts have, some left out, and a few of no part, two of them twice."""
+        own = self.t.part.select((F.substring("p_brand", 7, 10).cast("int") * 10 + F.col("p_size") % 6).cast("int")
+                                 .alias("id")).distinct().filter(F.col("id") % 17 != 0)
+        other = self.spark.range(9001, 9008).select(F.least("id", F.lit(9005)).cast("int").alias("id"))
+        ids = own.unionByName(other)
         created = F.lit("1996-06-15 00:00:00").cast("timestamp_ntz")
         return ids.select("id",
                           F.concat(F.lit("Interest "), F.col("id").cast("string")).alias("interest_name"),
