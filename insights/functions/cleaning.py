@@ -58,19 +58,6 @@ def dow_sunday0(d: Column | str) -> Column:
     return F.dayofweek(_col(d)) - 1
 
 
-def week_start(d: Column | str) -> Column:
-    """Monday of the (ISO) week that holds the date."""
-    return F.trunc(_col(d).cast("date"), "week")
-
-
-def month_start(d: Column | str) -> Column:
-    return F.trunc(_col(d).cast("date"), "month")
-
-
-
-
-
-
 # Fixed value: two-digit years 69-99 mean 19xx, 00-68 mean 20xx (POSIX strptime rule).
 TWO_DIGIT_YEAR_PIVOT = 69
 

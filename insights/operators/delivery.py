@@ -67,7 +67,7 @@ def delivered_per_runner(orders: DataFrame) -> DataFrame:
 
 def delivered_by_type(items: DataFrame, orders: DataFrame, recipes: DataFrame) -> DataFrame:
     d = _delivered_items(items, orders).groupBy("pizza_id").agg(F.count(F.lit(1)).alias("nb_pizza_delivered"))
-    names = F.broadcast(recipes.select("pizza_id", "pizza_name"))
+    names = recipes.select("pizza_id", "pizza_name")
     return (d.join(names, "pizza_id", "left")
             .select("pizza_id", F.coalesce("pizza_name", F.lit(UNKNOWN_TYPE)).alias("pizza_type"),
                     "nb_pizza_delivered"))
@@ -75,7 +75,7 @@ def delivered_by_type(items: DataFrame, orders: DataFrame, recipes: DataFrame) -
 
 def type_counts_per_customer(items: DataFrame, recipes: DataFrame,
                              types: tuple[str, ...] = ("Vegetarian", "Meatlovers")) -> DataFrame:
-    names = F.broadcast(recipes.filter(F.col("pizza_name").isin(*types)).select("pizza_id", "pizza_name"))
+    names = recipes.filter(F.col("pizza_name").isin(*types)).select("pizza_id", "pizza_name")
     return (items.join(names, "pizza_id").groupBy("customer_id", "pizza_name")
             .agg(F.count("pizza_id").alias("nb_pizza_ordered")))
 
@@ -128,7 +128,7 @@ def standard_ingredients(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
 def _top_topping(items: DataFrame, toppings: DataFrame, column: str, k: int = 1) -> DataFrame:
     ids = items.select(F.explode(csv_int_array(column)).alias("topping_id"))
     counts = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias("nb_time_added"))
-    named = counts.join(F.broadcast(toppings), "topping_id")
+    named = counts.join(toppings, "topping_id")
     return top_k(named, [F.col("nb_time_added").desc(), F.col("topping_id")], k)
 
 
@@ -148,7 +148,7 @@ def order_item_label(items: DataFrame, recipes: DataFrame, toppings: DataFrame,
         names = names.filter(F.col("pizza_name") == pizza_name)
     part = lambda label, arr: F.when(F.size(arr) > 0, F.concat(F.lit(label), F.array_join(arr, ", "))) \
         .otherwise(F.lit(""))
-    arrs = _parsed(items.join(F.broadcast(names), "pizza_id"), excl_ids="exclusions", extra_ids="extras") \
+    arrs = _parsed(items.join(names, "pizza_id"), excl_ids="exclusions", extra_ids="extras") \
         .select("order_id", "item_no", "pizza_name", "excl_ids", "extra_ids")
     named = arrs.crossJoin(topping_map(toppings)).select(
         "order_id", "item_no", "pizza_name",
@@ -170,7 +170,7 @@ def _parsed(df: DataFrame, **lists: str) -> DataFrame:
 def ingredient_list_2x(items: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """'Name: a, 2xb, c' per item: (recipe − exclusions) ∪ extras, sorted by name;
     '2x' marks an extra that is also still in the recipe."""
-    arrs = _parsed(items.join(F.broadcast(_parsed(recipes, base_ids="toppings")), "pizza_id"),
+    arrs = _parsed(items.join(_parsed(recipes, base_ids="toppings"), "pizza_id"),
                    excl_ids="exclusions", extra_ids="extras")
     kept = arrs.select("order_id", "item_no", "pizza_name", "extra_ids",
                        F.array_except("base_ids", "excl_ids").alias("kept_ids"))
@@ -186,12 +186,12 @@ def ingredient_list_2x(items: DataFrame, recipes: DataFrame, toppings: DataFrame
 
 def ingredient_usage(items: DataFrame, orders: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """Quantity of each ingredient over delivered items: (recipe − exclusions) + extras."""
-    d = _parsed(_delivered_items(items, orders).join(F.broadcast(_parsed(recipes, base_ids="toppings")), "pizza_id"),
+    d = _parsed(_delivered_items(items, orders).join(_parsed(recipes, base_ids="toppings"), "pizza_id"),
                 excl_ids="exclusions", extra_ids="extras")
     used = F.concat(F.array_except("base_ids", "excl_ids"), F.col("extra_ids"))
     counts = d.select(F.explode(used).alias("topping_id")).groupBy("topping_id") \
         .agg(F.count(F.lit(1)).alias("total_used"))
-    return counts.join(F.broadcast(toppings), "topping_id").select("topping_name", "total_used")
+    return counts.join(toppings, "topping_id").select("topping_name", "total_used")
 
 
 # ---- runners and customers ---------------------------------------------------------------------
@@ -249,11 +249,11 @@ PRICES = {"Meatlovers": 12, "Vegetarian": 10}
 
 def _price_table(spark, prices: Mapping[str, int]) -> DataFrame:
     from ..sources.views import literal_table
-    return F.broadcast(literal_table(spark, list(prices.items()), "pizza_name string, pizza_price int"))
+    return literal_table(spark, list(prices.items()), "pizza_name string, pizza_price int")
 
 
 def _priced_delivered(items, orders, recipes, prices):
-    d = _delivered_items(items, orders).join(F.broadcast(recipes.select("pizza_id", "pizza_name")), "pizza_id")
+    d = _delivered_items(items, orders).join(recipes.select("pizza_id", "pizza_name"), "pizza_id")
     return d.join(_price_table(items.sparkSession, prices), "pizza_name")
 
 

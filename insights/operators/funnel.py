@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pct, ratio
+from ..functions.numeric import pct, ratio, round_double
 from .patterns import top_k, top_k_per_group
 
 # Event type codes and the checkout page.
@@ -45,7 +45,7 @@ def visits_per_month(events: DataFrame) -> DataFrame:
 
 def events_per_type(events: DataFrame, event_types: DataFrame) -> DataFrame:
     per = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
-    return per.join(F.broadcast(event_types), "event_type").select("event_type", "event_name", "event_count")
+    return per.join(event_types, "event_type").select("event_type", "event_name", "event_count")
 
 
 def purchase_visit_pct(events: DataFrame) -> DataFrame:
@@ -64,13 +64,13 @@ def checkout_abandonment_pct(events: DataFrame, checkout_page: int = CHECKOUT_PA
 
 def top_pages(events: DataFrame, pages: DataFrame, k: int = 3) -> DataFrame:
     per = events.filter(_is(PAGE_VIEW)).groupBy("page_id").agg(F.count(F.lit(1)).alias("total_views"))
-    named = per.join(F.broadcast(pages.select("page_id", "page_name")), "page_id")
+    named = per.join(pages.select("page_id", "page_name"), "page_id")
     return top_k(named.select("page_name", "total_views"), [F.col("total_views").desc(), F.col("page_name")], k)
 
 
 def category_views_cart(events: DataFrame, pages: DataFrame) -> DataFrame:
     per = events.groupBy("page_id").agg(F.count_if(_is(PAGE_VIEW)).alias("v"), F.count_if(_is(CART_ADD)).alias("c"))
-    prod = F.broadcast(pages.filter(F.col("product_category").isNotNull()).select("page_id", "product_category"))
+    prod = pages.filter(F.col("product_category").isNotNull()).select("page_id", "product_category")
     return (per.join(prod, "page_id").groupBy("product_category")
             .agg(F.sum("v").alias("total_views"), F.sum("c").alias("total_cart_adds")))
 
@@ -83,7 +83,7 @@ def top_products_purchased(events: DataFrame, pages: DataFrame, k: int = 3) -> D
     """Products most added to cart within visits that end in a purchase."""
     carts = events.filter(_is(CART_ADD)).join(purchasing_visits(events), "visit_id", "left_semi")
     per = carts.groupBy("page_id").agg(F.count(F.lit(1)).alias("total_purchases"))
-    prod = F.broadcast(pages.filter(F.col("product_id").isNotNull())
+    prod = (pages.filter(F.col("product_id").isNotNull())
                        .select("page_id", F.col("page_name").alias("product_name")))
     return top_k(per.join(prod, "page_id").select("product_name", "total_purchases"),
                  [F.col("total_purchases").desc(), F.col("product_name")], k)
@@ -98,7 +98,7 @@ def product_funnel(events: DataFrame, pages: DataFrame) -> DataFrame:
         F.count_if(_is(CART_ADD)).alias("cart_adds"),
         F.count_if(_is(CART_ADD) & F.col("bought").isNull()).alias("abandoned"),
         F.count_if(_is(CART_ADD) & F.col("bought").isNotNull()).alias("purchases"))
-    prod = F.broadcast(pages.filter(F.col("product_id").isNotNull())
+    prod = (pages.filter(F.col("product_id").isNotNull())
                        .select("page_id", F.col("page_name").alias("product_name"), "product_category"))
     return per.join(prod, "page_id").select("product_name", "product_category", "views", "cart_adds",
                                             "abandoned", "purchases")
@@ -147,7 +147,7 @@ def visit_summary(events: DataFrame, pages: DataFrame, users: DataFrame, campaig
     The visit is aggregated first; its *start time* is then matched to the
     campaign window (range join against the broadcast campaign table).
     """
-    names = F.broadcast(pages.select("page_id", "page_name"))
+    names = pages.select("page_id", "page_name")
     # (event_time, event_id) is the visit's event order; sorting by it instead of the
     # per-visit row number lets Catalyst drop that window over raw events entirely
     cart_item = F.when(_is(CART_ADD), F.struct("event_time", "event_id", "page_name"))
@@ -163,7 +163,7 @@ def visit_summary(events: DataFrame, pages: DataFrame, users: DataFrame, campaig
               F.array_sort(F.collect_list(cart_item)).alias("cart")))
     # every cookie of a visit belongs to the same user: one representative cookie resolves it
     v = v.join(users.select("cookie_id", "user_id"), "cookie_id")
-    c = F.broadcast(campaigns.select("campaign_name", "start_date", "end_date"))
+    c = campaigns.select("campaign_name", "start_date", "end_date")
     j = v.join(c, F.col("visit_start_time").between(F.col("start_date"), F.col("end_date")), "left")
     cart = F.when(F.size("cart") > 0, F.array_join(F.transform("cart", lambda x: x["page_name"]), ", "))
     return j.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase",
@@ -179,3 +179,20 @@ def campaign_uplift(summary: DataFrame) -> DataFrame:
                             group.alias("ad_group"))
             .agg(F.count(F.lit(1)).alias("nb_visits"),
                  pct(F.sum("purchase"), F.count(F.lit(1))).alias("purchase_rate")))
+
+
+# Metric of a visit → its column in the visit summary.
+VISIT_METRICS = {"page views": "page_views", "cart adds": "cart_adds", "purchases": "purchase"}
+
+
+def campaign_metrics(summary: DataFrame) -> DataFrame:
+    """Each metric per visit with and without an ad impression, and the difference, per campaign."""
+    shown = F.col("impression") > 0
+    sums = [F.sum(F.when(shown if side else ~shown, F.col(c))).alias(f"{c}_{side}")
+            for c in VISIT_METRICS.values() for side in (0, 1)]
+    g = summary.groupBy(F.coalesce("campaign_name", F.lit("no campaign")).alias("campaign_name")).agg(
+        F.count_if(shown).alias("n_1"), F.count_if(~shown).alias("n_0"), *sums)
+    rows = g.select("campaign_name", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), ratio(F.col(f"{c}_1"), F.col("n_1"), 4).alias("exposed"),
+                 ratio(F.col(f"{c}_0"), F.col("n_0"), 4).alias("unexposed")) for m, c in VISIT_METRICS.items()])))
+    return rows.withColumn("uplift", round_double(F.col("exposed") - F.col("unexposed"), 4))

@@ -145,9 +145,16 @@ def rank_by(df: DataFrame, key: Sequence[str], order: str, out: str) -> DataFram
 
 
 def member_ranked_sales(sales: DataFrame, product: DataFrame, members: DataFrame) -> DataFrame:
-    """Joined sales ranked by order date within (customer, member); NULL for non-member rows."""
-    j = joined_sales_flag(sales, product, members)
-    ranked = rank_by(j, ["customer_id", "member"], "order_date", "__r")
-    return ranked.select("customer_id", "order_date", "product_name", "price", "member",
-                         F.when(F.col("member") == "N", F.lit(None)).otherwise(F.col("__r")).cast("int")
-                         .alias("ranking"))
+    """Joined sales ranked by order date among a customer's sales as a member; NULL for the others.
+
+    The rank needs dates alone, so it is taken from per-(customer, date) counts
+    of the members' sales, before any menu column is joined.
+    """
+    known = _sales(sales).join(product.select(F.col("product_id").alias("prod_id")), "prod_id", "left_semi")
+    days = known.groupBy("customer_id", "order_date").agg(F.count(F.lit(1)).alias("__n")).join(members, "customer_id") \
+        .filter(F.col("order_date") >= F.col("join_date"))
+    w = Window.partitionBy("customer_id").orderBy("order_date").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = days.select("customer_id", "order_date", (F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1).cast("int")
+                        .alias("ranking"))
+    return (joined_sales_flag(sales, product, members).join(ranks, ["customer_id", "order_date"], "left")
+            .select("customer_id", "order_date", "product_name", "price", "member", "ranking"))

@@ -1,6 +1,6 @@
 """Check SQL (DuckDB) for case 6, written from the questions."""
 
-from .sqlfn import PCT, RATIO
+from .sqlfn import PCT, RATIO, RD
 from .views import with_views
 
 VIEW, ADD, BUY, SHOWN, CLICKED = 1, 2, 3, 4, 5
@@ -95,5 +95,16 @@ SQL = {
                if(click > 0, 'clicked', if(impression > 0, 'impression only', 'no impression')) AS ad_group,
                count(*) AS nb_visits, {PCT('count(*) FILTER (purchase = 1)', 'count(*)')} AS purchase_rate
         FROM told GROUP BY ALL""",
+    "campaign_metrics": f"""{_VISITS},
+        long AS (
+          SELECT ifnull(campaign_name, 'no campaign') AS campaign_name, impression > 0 AS shown, metric, amount
+          FROM (UNPIVOT (SELECT campaign_name, impression, CAST(page_views AS BIGINT) AS "page views",
+                                CAST(cart_adds AS BIGINT) AS "cart adds", CAST(purchase AS BIGINT) AS "purchases" FROM told)
+                ON "page views", "cart adds", "purchases" INTO NAME metric VALUE amount)),
+        sides AS (
+          SELECT campaign_name, metric, {RATIO('sum(amount) FILTER (shown)', 'count(*) FILTER (shown)', 4)} AS exposed,
+                 {RATIO('sum(amount) FILTER (NOT shown)', 'count(*) FILTER (NOT shown)', 4)} AS unexposed
+          FROM long GROUP BY ALL)
+        SELECT *, {RD('exposed - unexposed', 4)} AS uplift FROM sides""",
 }
 SQL = {k: with_views(v) for k, v in SQL.items()}

@@ -210,6 +210,7 @@ _reg("avg_view_to_cart", lambda v: FN.avg_view_to_cart(_funnel(v)))
 _reg("avg_cart_to_purchase", lambda v: FN.avg_cart_to_purchase(_funnel(v)))
 _reg("visit_summary", _visits)
 _reg("campaign_uplift", lambda v: FN.campaign_uplift(_visits(v)))
+_reg("campaign_metrics", lambda v: FN.campaign_metrics(_visits(v)))
 
 
 # ---- case 8 ----------------------------------------------------------------------------------

@@ -24,8 +24,6 @@ def test_short_date_century_pivot(spark):
     assert got == [dt.date(1997, 6, 16), dt.date(2001, 1, 1), dt.date(2068, 12, 31), dt.date(1969, 1, 1), None]
 
 
-def test_week_and_dow(spark):
+def test_day_of_week(spark):
     df = spark.createDataFrame([(dt.date(2021, 1, 1),), (dt.date(2024, 1, 7),)], "d date")
-    rows = df.select(C.week_start("d").alias("w"), C.dow_sunday0("d").alias("n")).collect()
-    assert rows[0].w == dt.date(2020, 12, 28) and rows[0].n == 5
-    assert rows[1].w == dt.date(2024, 1, 1) and rows[1].n == 0
+    assert [r.n for r in df.select(C.dow_sunday0("d").alias("n")).collect()] == [5, 0]
