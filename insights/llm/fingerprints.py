@@ -1,9 +1,10 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests
 (DataFrame operations only).
 
-A text is a set of paragraph digests.  Paragraphs end at line ends, and after sentence
-ends so that short texts have several; a text that repeats paragraphs has one more
-element, which tells how many repeats there are.  A sketch has three rows of
+A text is a set of paragraph digests.  Paragraphs end at line ends, and at the sentence
+ends that the text itself marks (behind e and s), so that texts of few lines have
+several; a text that repeats paragraphs has one more element, which tells how many
+repeats there are.  A sketch has three rows of
 ``ROW`` cells; every digest falls into one cell of each row, and a cell holds the number
 of its digests, their exclusive or, and the exclusive or of their checks.  The
 fingerprint is the sketch of the whole text, in hex.
@@ -26,7 +27,6 @@ the next one is itself; an empty table gives an empty result.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +37,11 @@ from insights.plans.sinks import materialize
 ROWS, ROW = 3, 4
 LOAD = 3
 #: digests that one sketch can give away
-STEPS = 8
+STEPS = 6
+#: groups that the digests of a failed group are dealt over
+AGAIN = 4
 KEY = ["id0", "id1", "h"]
-PARAGRAPH_END = r"\n+|(?<=[.!?])\s+"
+PARAGRAPH_END = r"\n+|(?<=[es][.!?])\s+"
 
 
 def elements(text: Column) -> Column:
@@ -60,52 +62,48 @@ def _check(k: Column) -> Column:
     return F.xxhash64(F.lit("check"), k)
 
 
-def _hits(hashed: Column, i: int) -> Column:
+def _hits(hashed: str, i: int) -> str:
     """Whether a digest of this hash falls into cell ``i`` (of the row that the cell belongs to)."""
-    return F.pmod(F.shiftright(hashed, 8 * (i // ROW)), F.lit(ROW)) == i % ROW
+    return f"pmod(shiftright({hashed}, {8 * (i // ROW)}), {ROW}) = {i % ROW}"
 
 
 def sketches(digests: DataFrame, by: list[str], *more: Column) -> DataFrame:
-    """The sketch of each group of rows (hashed, sign, key): n0, key0, check0, n1, ...
+    """The sketch of each group of rows (hashed, sign, key, check): n0, key0, check0, n1, ...
 
     A version's digests count with sign 1, those of the version to subtract with -1: sums of
     signs and exclusive ors of both make the first sketch minus the second."""
-    zero = F.lit(0).cast("bigint")
     columns = []
     for i in CELLS:
-        here = _hits(F.col("hashed"), i)
-        columns += [F.sum(F.when(here, F.col("sign")).otherwise(0)).alias(f"n{i}"),
-                    F.bit_xor(F.when(here, F.col("key")).otherwise(zero)).alias(f"key{i}"),
-                    F.bit_xor(F.when(here, F.col("check")).otherwise(zero)).alias(f"check{i}")]
+        here = _hits("hashed", i)
+        columns += [F.expr(f"sum(if({here}, sign, 0)) AS n{i}"), F.expr(f"bit_xor(if({here}, key, 0L)) AS key{i}"),
+                    F.expr(f"bit_xor(if({here}, check, 0L)) AS check{i}")]
     return digests.groupBy(*by).agg(*columns, *more)
 
 
 def as_text() -> Column:
     """A sketch in hex: number, digests, checks of each cell."""
-    return F.lower(F.concat(*[F.lpad(F.hex(F.col(f"{name}{i}")), 16, "0") for i in CELLS for name in NAMES]))
+    parts = ", ".join(f"lpad(hex({name}{i}), 16, '0')" for i in CELLS for name in NAMES)
+    return F.expr(f"lower(concat({parts}))")
 
 
 def peel(sketched: DataFrame, seed: int, keep: list[str]) -> DataFrame:
     """``keep`` and ``d``: how many digests each subtracted sketch gives away, null if it doesn't peel to nothing.
 
     A step takes one digest that stands alone in a cell out of its other cells."""
-    now = sketched.withColumn("d", F.lit(0))
+    now = sketched.selectExpr("*", "0 AS d")
+    alone = ", ".join(
+        f"CASE WHEN abs(n{i}) = 1 AND xxhash64('check', key{i}) = check{i} THEN "
+        f"named_struct('sign', n{i}, 'key', key{i}, 'hashed', xxhash64({seed}, key{i})) END" for i in CELLS)
+    less = []
+    for i in CELLS:
+        here = f"pure IS NOT NULL AND {_hits('pure.hashed', i)}"
+        less += [f"if({here}, n{i} - pure.sign, n{i}) AS n{i}", f"if({here}, key{i} ^ pure.key, key{i}) AS key{i}",
+                 f"if({here}, check{i} ^ xxhash64('check', pure.key), check{i}) AS check{i}"]
     for _ in range(STEPS):
-        alone = [F.when((F.abs(F.col(f"n{i}")) == 1) & (_check(F.col(f"key{i}")) == F.col(f"check{i}")),
-                        F.struct(F.col(f"n{i}").alias("sign"), F.col(f"key{i}").alias("key"),
-                                 F.xxhash64(F.lit(seed), F.col(f"key{i}")).alias("hashed"))) for i in CELLS]
-        now = now.withColumn("pure", F.coalesce(*alone))
-        pure = F.col("pure")
-        less = []
-        for i in CELLS:
-            here = pure.isNotNull() & _hits(pure["hashed"], i)
-            less += [F.when(here, F.col(f"n{i}") - pure["sign"]).otherwise(F.col(f"n{i}")).alias(f"n{i}"),
-                     F.when(here, F.col(f"key{i}").bitwiseXOR(pure["key"])).otherwise(F.col(f"key{i}")).alias(f"key{i}"),
-                     F.when(here, F.col(f"check{i}").bitwiseXOR(_check(pure["key"]))).otherwise(F.col(f"check{i}"))
-                     .alias(f"check{i}")]
-        now = now.select(*keep, *less, (F.col("d") + pure.isNotNull().cast("int")).alias("d"))
-    empty = reduce(and_, [F.col(f"{name}{i}") == 0 for i in CELLS for name in NAMES])
-    return now.select(*keep, F.when(empty, F.col("d")).alias("d"))
+        now = now.selectExpr("*", f"coalesce({alone}) AS pure").selectExpr(
+            *keep, *less, "d + CAST(pure IS NOT NULL AS INT) AS d")
+    empty = " AND ".join(f"{name}{i} = 0" for i in CELLS for name in NAMES)
+    return now.selectExpr(*keep, f"if({empty}, d, NULL) AS d")
 
 
 def dealt(digests: DataFrame, seed: int) -> DataFrame:
@@ -115,11 +113,11 @@ def dealt(digests: DataFrame, seed: int) -> DataFrame:
     return hashed.withColumn("part", F.xxhash64("part", at)).drop("groups")
 
 
-def recovered(digests: DataFrame, seed: int, *more: Column) -> DataFrame:
+def recovered(digests: DataFrame, seed: int) -> DataFrame:
     """KEY, kind, part, d and, where the sketch failed, its digests (``own``)."""
     by = [*KEY, "kind", "part"]
     own = F.collect_list(F.struct("sign", "key")).alias("own")
-    found = peel(sketches(dealt(digests, seed), by, own, *more), seed, [*by, "own"])
+    found = peel(sketches(dealt(digests, seed), by, own), seed, [*by, "own"])
     return found.withColumn("own", F.when(F.col("d").isNull(), F.col("own")))
 
 
@@ -171,62 +169,64 @@ def _versions(docs: DataFrame) -> DataFrame:
                          elements(F.col("edited")).alias("e"), "b")
 
 
-def fingerprint(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    text = whole_text(docs)
-    own = docs.select(docs["doc_id"].isNull().alias("id0"), F.coalesce(docs["doc_id"], F.lit(0)).cast("long").alias("id1"),
-                      F.xxhash64(text).alias("h"), F.char_length(text).alias("n"), text.alias("text"))
-    # kind 0: text against edited text, 1: against the next text, 2 and 3: the fingerprints alone, 4: the row itself
+def _digests(versions: DataFrame, *more: str) -> DataFrame:
+    """A row per digest.  Kind 0: text against edited text, 1: against the next text, 2 and 3: the
+    fingerprints of text and edited text."""
     a, e, b = F.col("a"), F.col("e"), F.col("b")
     # per document first, so that nothing is worked out anew for every digest
-    told = _versions(own).select(
-        *KEY, F.struct("n", "edited_sha256", F.size(a).alias("n_a"), F.size(e).alias("n_e"), F.size(b).alias("n_b"))
-        .alias("doc"), F.ceil(foretold(a, e) / LOAD).alias("g0"), F.ceil(foretold(a, b) / LOAD).alias("g1"), F.concat(
-            F.array(F.struct(F.lit(4).alias("kind"), F.lit(0).alias("sign"), F.lit(0).cast("bigint").alias("key"))),
+    told = versions.select(
+        *KEY, *more, F.ceil(foretold(a, e) / LOAD).alias("g0"), F.ceil(foretold(a, b) / LOAD).alias("g1"), F.concat(
             _signed(a, 0, 1), _signed(e, 0, -1), _signed(a, 1, 1), _signed(b, 1, -1), _signed(a, 2, 1),
             _signed(e, 3, 1)).alias("all"))
-    rows = told.select(*KEY, "doc", "g0", "g1", F.explode("all").alias("of"))
+    rows = told.select(*KEY, *more, "g0", "g1", F.explode("all").alias("of"))
     groups = F.when(F.col("of.kind") == 0, F.col("g0")).when(F.col("of.kind") == 1, F.col("g1")).otherwise(1)
-    digests = rows.select(*KEY, "of.*", F.lit(0).cast("bigint").alias("part"), groups.alias("groups"),
-                          F.when(F.col("of.kind") == 4, F.col("doc")).alias("doc"))
-    by = [*KEY, "kind", "part"]
-    seed = 1
-    cells = sketches(dealt(digests, seed), by, F.collect_list(F.when(
-        F.col("kind") < 2, F.struct("sign", "key"))).alias("own"), F.first("doc", ignorenulls=True).alias("doc"))
-    shown = cells.withColumn("print", F.when(F.col("kind").isin(2, 3), as_text()))
-    found = peel(shown, seed, [*by, "own", "doc", "print"])
+    return rows.select(*KEY, *more, "of.*", F.lit(0).cast("bigint").alias("part"), groups.alias("groups"))
+
+
+def fingerprint(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    text = whole_text(docs)
+    own = docs.select(docs["doc_id"].isNull().alias("id0"), F.coalesce(docs["doc_id"], F.lit(0)).cast("long").alias("id1"),
+                      F.xxhash64(text).alias("h"), F.char_length(text).alias("n"), text.alias("text"))
+    versions = materialize(_versions(own), "versions")
+    by, seed = [*KEY, "kind", "part"], 1
+    # the digests of a document stay together from here on: what follows needs no other exchange
+    cells = sketches(dealt(_digests(versions.repartition(*KEY)), seed), by)
+    found = peel(cells.withColumn("print", F.when(F.col("kind") > 1, as_text())), seed, [*by, "print"])
     failed = F.col("d").isNull() & (F.col("kind") < 2)
     first = materialize(found.groupBy(*KEY).agg(
-        F.first("doc", ignorenulls=True).alias("doc"),
-        *[F.first(F.when(F.col("kind") == k, F.col("print")), ignorenulls=True).alias(f"print{k}") for k in (2, 3)],
+        *[F.max(F.when(F.col("kind") == k, F.col("print"))).alias(f"print{k}") for k in (2, 3)],
         *[F.sum(F.when(F.col("kind") == k, F.col("d")).otherwise(0)).alias(f"d{k}") for k in (0, 1)],
-        F.collect_list(F.when(failed, F.struct("kind", "part", "own"))).alias("fails")), "peeled")
+        F.collect_list(F.when(failed, F.struct("kind", "part"))).alias("fails")), "peeled")
+    rows = (versions.select(*KEY, "n", "edited_sha256", *[F.size(k).alias(f"n_{k}") for k in "aeb"])
+            .join(first.drop("fails"), KEY, "left").join(_retried(versions, first, seed), KEY, "left"))
     nothing = F.lit("0" * 16 * len(CELLS) * len(NAMES))
 
     def likeness(k: int, y: str) -> Column:
-        both = F.col("doc.n_a") + F.col(f"doc.n_{y}")
-        d = F.col(f"d{k}") + F.coalesce(F.col(f"more{k}"), F.lit(0))
+        both = F.col("n_a") + F.col(f"n_{y}")
+        d = F.coalesce(F.col(f"d{k}"), F.lit(0)) + F.coalesce(F.col(f"more{k}"), F.lit(0))
         return F.when(both == 0, 1.0).otherwise((both - d) / (both + d))
 
-    return first.join(_retried(first), KEY, "left").select(
-        F.when(~F.col("id0"), F.col("id1")).alias("doc_id"), F.col("doc.n").cast("long").alias("n_chars"),
-        "doc.edited_sha256", F.coalesce("print2", nothing).alias("fingerprint"),
-        F.coalesce("print3", nothing).alias("edited_fingerprint"),
+    return rows.select(
+        F.when(~F.col("id0"), F.col("id1")).alias("doc_id"), F.col("n").cast("long").alias("n_chars"), "edited_sha256",
+        F.coalesce("print2", nothing).alias("fingerprint"), F.coalesce("print3", nothing).alias("edited_fingerprint"),
         likeness(0, "e").alias("near_edited"), likeness(1, "b").alias("near_next"))
 
 
-def _retried(first: DataFrame) -> DataFrame:
+def _retried(versions: DataFrame, first: DataFrame, seed: int) -> DataFrame:
     """The groups that failed, dealt over more groups with other hashes until none fails: KEY, more0, more1."""
-    left = first.select(*KEY, F.explode("fails").alias("f")).select(*KEY, "f.kind", "f.part", "f.own")
+    some = first.filter(F.size("fails") > 0).select(*KEY, "fails")
+    again = dealt(_digests(versions.join(some, KEY), "fails"), seed).filter(
+        F.array_contains("fails", F.struct("kind", "part")))
+    left = again.select(*KEY, "kind", "part", "sign", "key", F.lit(AGAIN).alias("groups"))
     done: list[DataFrame] = []
-    seed = 2
     while True:
-        digests = left.withColumn("groups", F.ceil(F.size("own") / LOAD) + 1).select(
-            *KEY, "kind", "part", "groups", F.inline("own"))
-        tried = materialize(recovered(digests, seed), "retried")
+        seed += 1
+        tried = materialize(recovered(left, seed), "retried")
         done.append(tried.filter("d is not null").select(*KEY, "kind", "d"))
-        left, seed = tried.filter("d is null").select(*KEY, "kind", "part", "own"), seed + 1
-        if left.isEmpty():
+        lost = tried.filter("d is null")
+        if lost.isEmpty():
             break
+        left = lost.withColumn("groups", F.lit(AGAIN)).select(*KEY, "kind", "part", "groups", F.inline("own"))
     return reduce(DataFrame.unionByName, done).groupBy(*KEY).agg(*[
         F.sum(F.when(F.col("kind") == k, F.col("d")).otherwise(0)).alias(f"more{k}") for k in (0, 1)])
