@@ -69,22 +69,26 @@ def encode(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     at = max(1, min(BLOCK - 1, int(percentile * BLOCK)))
     width = _widths(np.partition(rest, at, axis=1)[:, at])
     over = rest >= (np.uint64(1) << width.astype(np.uint64))[:, None]
-    packed: list[bytes] = [b""] * blocks
-    for w in np.unique(width):
+    extra = over.sum(axis=1)
+    size = _BLOCK_HEAD + 32 * width.astype(np.int64) + 5 * extra
+    starts = np.concatenate([[0], np.cumsum(size)])
+    body = np.empty(starts[-1], np.uint8)
+    at = starts[:-1]
+    head = np.empty((blocks, _BLOCK_HEAD), np.uint8)
+    head[:, :4] = low.astype("<u4")[:, None].view(np.uint8)
+    head[:, 4], head[:, 5] = width, extra
+    body[at[:, None] + np.arange(_BLOCK_HEAD)] = head
+    for w in np.unique(width[width > 0]):
         of = np.flatnonzero(width == w)
-        kept = np.where(over[of], np.uint32(0), rest[of])
-        for i, row in zip(of, _pack(kept, int(w)).astype("<u4") if w else [np.empty(0, "<u4")] * len(of), strict=True):
-            packed[i] = row.tobytes()
-    where = np.nonzero(over)
-    bounds = np.searchsorted(where[0], np.arange(blocks + 1))
-    position, value = where[1].astype(np.uint8), rest[where].astype("<u4")
-    body = []
-    for i in range(blocks):
-        a, b = bounds[i], bounds[i + 1]
-        body.append(struct.pack("<IBB", low[i], width[i], b - a) + packed[i]
-                    + position[a:b].tobytes() + value[a:b].tobytes())
-    starts = np.concatenate([[0], np.cumsum([len(b) for b in body])]).astype("<u4")
-    return _HEAD.pack(_MAGIC, n, blocks) + starts.tobytes() + b"".join(body)
+        packed = _pack(np.where(over[of], np.uint32(0), rest[of]), int(w)).astype("<u4").view(np.uint8)
+        body[(at[of] + _BLOCK_HEAD)[:, None] + np.arange(32 * int(w))] = packed
+    row, position = np.nonzero(over)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(extra) - extra, extra)
+    lists = at + _BLOCK_HEAD + 32 * width.astype(np.int64)
+    body[lists[row] + nth] = position.astype(np.uint8)
+    value = np.ascontiguousarray(rest[row, position].astype("<u4")).view(np.uint8).reshape(-1, 4)
+    body[((lists + extra)[row] + 4 * nth)[:, None] + np.arange(4)] = value
+    return _HEAD.pack(_MAGIC, n, blocks) + starts.astype("<u4").tobytes() + body.tobytes()
 
 
 def decode(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:

@@ -16,7 +16,7 @@ import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-KEPT_PIECES, KEPT_WORDS = 400_000, 800_000
+KEPT_PIECES, KEPT_WORDS = 700_000, 800_000
 ID = np.dtype("<u2")  # both vocabularies have fewer than 65,536 ids
 _ENDINGS = ".,;:!?"
 
@@ -36,7 +36,7 @@ class Encoder:
             raise ValueError(f"{path}: ids need more than 16 bits")
         self.byte_level = byte_level
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
         self.line_end = self.raw(["\n"])[0] if byte_level else b""
 
     def raw(self, texts: list[str]) -> list[bytes]:
@@ -52,35 +52,53 @@ class Encoder:
             return text.replace("\n", " ").split(" ")
         return ("\r" + text).replace("\n", " \n").split(" ") if text and "\r" not in text else None
 
+    def _parts(self, piece: str) -> tuple[str, str, str] | None:
+        """Line end, word and sign run of a piece that isn't just letters and signs; None if it can't stand alone."""
+        if not self.byte_level:
+            return "", piece, ""
+        line, body = (piece[0], piece[1:]) if piece[:1] in ("\n", "\r") else (" ", piece)
+        if not body or body != body.strip():
+            return None
+        word = body.rstrip(_ENDINGS)
+        end = body[len(word):] if word.isalpha() else ""
+        return line, (" " if line == " " else "") + (word if end else body), end
+
     def _known(self, new: Iterable[str]) -> None:
         """Work out the ids of pieces not met before; None marks a piece that can't stand alone."""
-        split: dict[str, tuple[str, str, str]] = {}
+        pieces, words, byte_level = self.pieces, self.words, self.byte_level
+        plain: list[tuple[str, str, str]] = []
+        lines: list[tuple[str, str, str]] = []
+        missing: set[str] = set()
         for p in new:
-            head, body = ("", p)
-            if self.byte_level:
-                head, body = (p[0], p[1:]) if p[:1] in ("\n", "\r") else (" ", p)
-                if not body or body != body.strip():
-                    self.pieces[p] = None
-                    continue
-            word = body.rstrip(_ENDINGS)
-            end = body[len(word):]
-            if not word.isalpha():
-                word, end = body, ""
-            elif not self.byte_level and "Σ" not in word:
-                word = word.lower()
-            split[p] = head, (" " if head == " " else "") + word, end
-        missing = [w for w in {x for _, w, e in split.values() for x in (w, e)} if w not in self.words]
-        self.words.update(zip(missing, self.raw(missing), strict=True))
-        for p, (head, word, end) in split.items():
-            ids = self.words[word] + self.words[end] if end else self.words[word]
-            self.pieces[p] = self.line_end + ids if head == "\n" else ids
+            word = p.rstrip(_ENDINGS)
+            if word.isalpha():
+                key = " " + word if byte_level else word if "Σ" in word else word.lower()
+                end, into = p[len(word):], plain
+            elif parts := self._parts(p):
+                line, key, end = parts
+                into = lines if line == "\n" else plain
+            else:
+                pieces[p] = None
+                continue
+            into.append((p, key, end))
+            if key not in words:
+                missing.add(key)
+            if end not in words:
+                missing.add(end)
+        if missing:
+            fresh = list(missing)
+            words.update(zip(fresh, self.raw(fresh), strict=True))
+        for p, key, end in plain:
+            pieces[p] = words[key] + words[end] if end else words[key]
+        for p, key, end in lines:
+            pieces[p] = self.line_end + words[key] + words[end]
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[bytes]:
         """The ids of each text as little-endian 16-bit numbers, with ``end`` appended."""
         if len(self.pieces) > KEPT_PIECES:
             self.pieces = {}
         if len(self.words) > KEPT_WORDS:
-            self.words = {}
+            self.words = {"": b""}
         cuts = [self.cut(t or "") for t in texts]
         new: set[str] = set()
         for c in cuts:
