@@ -35,6 +35,8 @@ from insights.plans.sinks import materialize
 QUANTILE = 0.99
 TOLERANCE = 1.15
 PACK_CHARS = 1 << 18
+#: text of a block: what a task goes through, and has one row per n-gram for
+BLOCK_BYTES = 1 << 24
 TRUSTED, GRAMS, TEXTS = 0, 1, 2
 ROW = "block int, kind int, gram long, p double, payload binary"
 SLOTS = 22
@@ -229,8 +231,8 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, n_grams, perplexity, trusted of every document."""
-    spark = docs.sparkSession
-    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # set to the data's size by whoever runs the job
+    size = docs.agg(F.sum(F.octet_length(docs["text"].cast("string")))).first()[0] or 0
+    blocks = 1 + size // BLOCK_BYTES
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].cast("string").alias("lang"),
                       docs["text"].cast("string").alias("text"))
     trusted = labels.filter((labels["quality"] == 1) & (F.coalesce(labels["toxic"], F.lit(0)) != 1)
