@@ -16,7 +16,7 @@ import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-KEPT_PIECES, KEPT_WORDS = 700_000, 800_000
+KEPT_PIECES, KEPT_WORDS = 400_000, 700_000
 ID = np.dtype("<u2")  # both vocabularies have fewer than 65,536 ids
 _ENDINGS = ".,;:!?"
 
