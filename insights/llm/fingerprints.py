@@ -1,10 +1,11 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests
 (DataFrame operations only).
 
-A text is a set of paragraph digests.  Paragraphs end at line ends, and at the sentence
-ends that the text itself marks (behind e and s), so that texts of few lines have
-several; a text that repeats paragraphs has one more element, which tells how many
-repeats there are.  A sketch has three rows of
+A text is a set of paragraph digests.  Paragraphs end at line ends, and at every sentence
+end, whatever letter stands before it: a full stop, question or exclamation mark (also
+those of other scripts) before white space, or a wide one, which needs none.  So texts of
+few lines have several; a text that repeats paragraphs has one more element, which tells
+how many repeats there are.  A sketch has three rows of
 ``ROW`` cells; every digest falls into one cell of each row, and a cell holds the number
 of its digests, their exclusive or, and the exclusive or of their checks.  The
 fingerprint is the sketch of the whole text, in hex.
@@ -41,7 +42,7 @@ STEPS = 6
 #: groups that the digests of a failed group are dealt over
 AGAIN = 4
 KEY = ["id0", "id1", "h"]
-PARAGRAPH_END = r"\n+|(?<=[es][.!?])\s+"
+PARAGRAPH_END = r"\n+|(?<=[.!?．।॥؟۔።])\s+|(?<=[。！？｡])(?![。！？｡])\s*"
 
 
 def elements(text: Column) -> Column:
