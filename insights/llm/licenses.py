@@ -90,7 +90,7 @@ def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: f
         F.array_intersect("words", _literals(vocabulary)).alias("known"),
         F.when(maybe, F.regexp_count(low_text, F.lit(any_place))).otherwise(0).cast("long").alias("n_base"))
     found = F.col("n_base") > 0
-    before_first = F.expr("left(low, cast(first_at - 1 as int))")
+    before_first = F.regexp_extract(low_text, f"(?s)^(.*?){any_place}", 1)
     before_last = F.regexp_extract(low_text, f"(?s)^(.*){any_place}", 1)
     labels = F.array_compact(F.array(*[F.when(low_text.rlike(_places([p])), F.lit(label))
                                        for p, label in phrases.items()]))
@@ -100,7 +100,7 @@ def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: f
     blocks = F.filter(F.transform(F.split(low_text, "\n"),
                                   lambda x: F.array_intersect(F.split(x, GAP), _literals(vocabulary))),
                       lambda b: F.size(b) > 0)
-    return counted.withColumn("first_at", F.when(found, F.regexp_instr(low_text, F.lit(any_place)))).select(
+    return counted.select(
         "row", "doc_id", "n_words", "n_base",
         F.when(found, _words(before_first)).alias("first_word"),
         F.when(found, _words(before_last)).alias("last_word"),

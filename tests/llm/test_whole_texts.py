@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from insights.llm import fingerprints
+from insights.llm import fingerprints, licenses
 
 SCHEMA = "doc_id long, text string"
 
@@ -37,3 +37,9 @@ def test_fingerprints_cut_at_every_sentence_end(spark):
 
 def test_fingerprints_of_documents_by_sentences(docs001):
     check_sentences(docs001.select("doc_id", "text"))
+
+
+def test_licenses_first_word_behind_characters_of_two_units(spark):
+    texts = ["😀 mit license", "😀😀 x 😀 MIT License and the mit license", "a 😀 b\nApache License 😀"]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    assert [(got[i]["first_word"], got[i]["last_word"]) for i in range(3)] == [(1, 1), (3, 7), (3, 3)]
