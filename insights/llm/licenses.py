@@ -1,7 +1,9 @@
 """License scans: exact set-similarity join of text blocks with license notices
 (DataFrame operations only).
 
-Blocks are the lines of a text, as sets of words (A-Z lower-cased).  A block meets
+Blocks are the lines of a text, as sets of words (A-Z lower-cased), and, for notices
+wrapped over several lines, the windows of as many consecutive words as a template has
+that reach over a line end; a window is a block for its own template alone.  A block meets
 a template when it holds at least ``threshold`` of the template's words.  Words
 outside all templates can't add to an overlap, so blocks are projected to the
 template vocabulary, a fixed set, and only texts that hold enough words of a template
@@ -15,6 +17,10 @@ as a whole are cut into blocks; then
 * positional filter: what stands after the two positions can still reach ``need``;
 * each (block, template) is verified once, at its first common word.
 
+A window that begins with a word outside the template holds no more of it than the one
+that begins at the next word inside, so only windows that begin inside are made, and
+those that hold too few words of the template are dropped at once.
+
 The filters only drop pairs that can't meet the threshold: the join is exact.
 
 Beside it stand the base places: where the words of a phrase stand consecutively.
@@ -76,9 +82,29 @@ def _words(c: Column) -> Column:
     return F.size(F.array_remove(F.split(c, GAP), "")).cast("long")
 
 
+def _windows(template: str, number: int, vocabulary: Sequence[str], threshold: float) -> Column:
+    """The windows of a template over ``words`` (on the lines ``line``) that reach over a line end and hold enough of it."""
+    inside, long = _literals(sorted(set(template.split()))), len(template.split())
+    words, line = F.col("words"), F.col("line")
+
+    def last(p: Column) -> Column:
+        return F.get(line, F.least(p + (long - 1), F.size(words)) - 1)
+
+    def held(p: Column) -> Column:
+        return F.slice(words, p, long)
+
+    starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda p: (
+        F.array_contains(inside, F.get(words, p - 1)) & (last(p) > F.get(line, p - 1))
+        & (F.size(F.array_intersect(held(p), inside)) >= _need(template, threshold))))
+    return F.transform(starts, lambda p: F.struct(
+        F.get(line, p - 1).alias("first"), last(p).alias("last"), F.lit(number).alias("of"),
+        F.array_intersect(held(p), _literals(vocabulary)).alias("words")))
+
+
 def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: float) -> DataFrame:
-    """One row per document: base places, its template words (``known``), and its blocks as arrays of
-    template words where the whole text holds enough of a template; elsewhere no block can."""
+    """One row per document: base places, its template words (``known``), and its blocks (first and
+    last line, number of the template for a window, template words) where the whole text holds enough
+    of a template; elsewhere no block can."""
     vocabulary = sorted({w for _, t in templates for w in t.split()})
     low = docs.select(docs["doc_id"].alias("doc_id"), ascii_lower(whole_text(docs)).alias("low"))
     low = low.withColumn("words", F.array_remove(F.split("low", GAP), ""))
@@ -86,7 +112,7 @@ def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: f
     # every place of a phrase holds its longest word as written
     maybe = reduce(or_, [low_text.contains(w) for w in {max(p.split(), key=len) for p in phrases}])
     counted = low.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "low", F.size("words").cast("long").alias("n_words"),
+        F.monotonically_increasing_id().alias("row"), "doc_id", "low", "words", F.size("words").cast("long").alias("n_words"),
         F.array_intersect("words", _literals(vocabulary)).alias("known"),
         F.when(maybe, F.regexp_count(low_text, F.lit(any_place))).otherwise(0).cast("long").alias("n_base"))
     found = F.col("n_base") > 0
@@ -94,18 +120,23 @@ def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: f
     before_last = F.regexp_extract(low_text, f"(?s)^(.*){any_place}", 1)
     labels = F.array_compact(F.array(*[F.when(low_text.rlike(_places([p])), F.lit(label))
                                        for p, label in phrases.items()]))
-    enough = reduce(or_, [F.size(F.array_intersect("known", _literals(sorted(set(t.split()))))) >= _need(t, threshold)
-                          for _, t in templates])
+    holds = [F.size(F.array_intersect("known", _literals(sorted(set(t.split()))))) >= _need(t, threshold)
+             for _, t in templates]
+    enough = reduce(or_, holds)
     none = F.array().cast("array<string>")
-    blocks = F.filter(F.transform(F.split(low_text, "\n"),
-                                  lambda x: F.array_intersect(F.split(x, GAP), _literals(vocabulary))),
-                      lambda b: F.size(b) > 0)
-    return counted.select(
+    lines = F.filter(F.transform(F.split(low_text, "\n"), lambda x, i: F.struct(
+        i.alias("first"), i.alias("last"), F.lit(None).cast("int").alias("of"),
+        F.array_intersect(F.split(x, GAP), _literals(vocabulary)).alias("words"))), lambda b: F.size(b["words"]) > 0)
+    nothing = F.array().cast("array<struct<first:int,last:int,of:int,words:array<string>>>")
+    wrapped = [F.when(held & low_text.contains("\n") & (F.size("words") > 0), _windows(t, k, vocabulary, threshold))
+               .otherwise(nothing) for k, (held, (_, t)) in enumerate(zip(holds, templates, strict=True))]
+    line = F.flatten(F.transform(F.split(low_text, "\n"), lambda x, i: F.array_repeat(i, _words(x).cast("int"))))
+    return counted.withColumn("line", F.when(enough, line)).select(
         "row", "doc_id", "n_words", "n_base",
         F.when(found, _words(before_first)).alias("first_word"),
         F.when(found, _words(before_last)).alias("last_word"),
         F.when(found, F.array_sort(F.array_distinct(labels))).otherwise(none).alias("base"), "known",
-        F.when(enough, blocks).otherwise(F.array().cast("array<array<string>>")).alias("blocks"))
+        F.when(enough, F.concat(lines, *wrapped)).otherwise(nothing).alias("blocks"))
 
 
 def _template_rows(spark: SparkSession, templates, order: Sequence[str], threshold: float) -> DataFrame:
@@ -125,7 +156,7 @@ def _template_rows(spark: SparkSession, templates, order: Sequence[str], thresho
 def join_templates(blocks: DataFrame, order: Sequence[str], templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """(row, block, template, label, containment) of every block that meets a template.
 
-    ``blocks``: row, block (its number in the text), words (distinct, of the vocabulary);
+    ``blocks``: row, block (what tells it from the text's others), words (distinct, of the vocabulary);
     ``order``: the vocabulary, rarest word first."""
     least = min(_need(t, threshold) for _, t in templates)
     ordered = blocks.filter(F.size("words") >= least).withColumn(
@@ -142,18 +173,32 @@ def join_templates(blocks: DataFrame, order: Sequence[str], templates=TEMPLATES,
             .select("row", "block", "template", "label", (F.size("common") / F.size("whole")).alias("containment")))
 
 
+def _notices() -> Column:
+    """How many wrapped notices ``windows`` are: without those over one of ``lines``; for one template,
+    those that begin where one counted before still reaches are one notice."""
+    own = F.filter("windows", lambda w: ~F.exists("lines", lambda x: (x >= w["first"]) & (x <= w["last"])))
+    start = F.struct(F.lit(-1).alias("template"), F.lit(-1).alias("end"), F.lit(0).alias("n"))
+    return F.aggregate(F.array_sort(own), start, lambda a, w: F.when(
+        (a["template"] == w["template"]) & (w["first"] <= a["end"]), a).otherwise(F.struct(
+            w["template"].alias("template"), w["last"].alias("end"), (a["n"] + 1).alias("n"))), lambda a: a["n"])
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, phrases: Mapping[str, str] = PHRASES,
          threshold: float = 0.8) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks
-    (blocks that meet a template)."""
+    (lines that meet a template, and wrapped notices on lines that don't)."""
     texts = materialize(scanned(docs, phrases, templates, threshold), "blocks")
     counts = texts.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     seen = {r["word"]: r["n"] for r in counts.collect()}  # as many rows as the fixed vocabulary has words
     order = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (seen.get(w, 0), w))
-    blocks = texts.select("row", F.posexplode("blocks").alias("block", "words"))
-    met = (join_templates(blocks, order, templates, threshold).groupBy("row")
+    blocks = texts.select("row", F.explode("blocks").alias("of")).select(
+        "row", F.struct("of.first", "of.last", F.col("of.of").alias("of")).alias("block"), "of.words")
+    met = (join_templates(blocks, order, templates, threshold)
+           .filter(F.col("block.of").isNull() | (F.col("block.of") == F.col("template"))).groupBy("row")
            .agg(F.collect_set("label").alias("met"), F.max("containment").alias("most"),
-                F.countDistinct("block").alias("n_blocks")))
+                F.collect_set(F.when(F.col("block.of").isNull(), F.col("block.first"))).alias("lines"),
+                F.collect_set(F.when(F.col("block.of").isNotNull(), F.struct("template", "block.first", "block.last"))).alias("windows"))
+           .select("row", "met", "most", (F.size("lines") + _notices()).alias("n_blocks")))
     none = F.array().cast("array<string>")
     return texts.drop("blocks", "known").join(met, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

@@ -43,3 +43,20 @@ def test_licenses_first_word_behind_characters_of_two_units(spark):
     texts = ["😀 mit license", "😀😀 x 😀 MIT License and the mit license", "a 😀 b\nApache License 😀"]
     got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
     assert [(got[i]["first_word"], got[i]["last_word"]) for i in range(3)] == [(1, 1), (3, 7), (3, 3)]
+
+
+def test_licenses_wrapped_over_lines(spark):
+    bsd = """ * Redistribution and use in source and binary forms, with or
+ * without modification, are permitted provided that the following
+ * conditions are met:
+ *"""
+    mit = """# Permission is hereby granted, free of charge, to any person
+# obtaining a copy of this software and associated documentation
+# files (the "Software"), to deal in the Software."""
+    one = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+    apart = "\n".join(f"{w} and {'x ' * 30}" for w in one.split())
+    texts = [bsd, mit, bsd + "\n\n" + mit, "so that the\n" + one + "\nthe", apart, bsd + "\n" + "y " * 40 + "\n" + bsd]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    assert [(got[i]["labels"], got[i]["n_blocks"]) for i in range(6)] == [
+        ("bsd", 1), ("mit", 1), ("bsd,mit", 2), ("bsd", 1), ("", 0), ("bsd", 2)]
+    assert all(got[i]["score"] == 1.0 for i in (0, 1, 2, 3, 5)) and got[4]["score"] == 0
