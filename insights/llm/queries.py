@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from insights.llm import exact_dedup, fingerprints, language, licenses, mixing, near_duplicates, packing, pii, quality, token_files
+from insights.llm import (exact_dedup, fingerprints, language, licenses, mixing, near_duplicates, packing, periodic, pii, quality,
+                          token_files, whitening)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": lambda spark, d: pii.report(documents(spark, d)),
     "op2_quality": lambda spark, d: quality.classify(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
@@ -25,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(documents(spark, d)),
     "op9_fingerprints": lambda spark, d: fingerprints.fingerprint(documents(spark, d)),
     "op10_near_duplicates": lambda spark, d: near_duplicates.classes(documents(spark, d)),
+    "op11_whitening": lambda spark, d: whitening.whiten(embeddings(spark, d)),
+    "op12_periodic_runs": lambda spark, d: periodic.report(documents(spark, d)),
     "pipeline": corpus_pipeline.run,
 }
 
