@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from insights.llm import (exact_dedup, fingerprints, language, licenses, mixing, near_duplicates, packing, periodic, pii, quality,
-                          token_files, whitening)
+                          token_files, vector_links, whitening)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_duplicates": lambda spark, d: near_duplicates.classes(documents(spark, d)),
     "op11_whitening": lambda spark, d: whitening.whiten(embeddings(spark, d)),
     "op12_periodic_runs": lambda spark, d: periodic.report(documents(spark, d)),
+    "op13_vector_links": lambda spark, d: vector_links.near_copies(embeddings(spark, d)),
     "pipeline": corpus_pipeline.run,
 }
 
