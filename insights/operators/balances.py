@@ -4,9 +4,9 @@ Inputs: ``stays`` (customer_id, region_id, node_id, start_date, end_date with
 9999-12-31 = still open), ``regions`` (region_id, region_name), ``txns``
 (customer_id, txn_date, txn_type deposit/purchase/withdrawal, txn_amount).
 
-Balances are exact decimals.  Running balances are computed on a dense
-customer × period grid (``patterns.dense_running_total``); allocation
-options are aggregates over that grid.
+Balances are exact decimals.  They are step functions (``levels``): one row
+per customer and day of change.  Only the two results that list every
+customer on every day or month have rows for them.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import money, pct, ratio
+from ..functions.numeric import money, pct, ratio, round_double
+from .levels import at_dates, carried_by_month, flows, months, span, steps
 from .patterns import dense_running_total
+from .selection import exact_quantiles_by
 
 OPEN_END = "9999-12-31"
 MICRO = 1_000_000
@@ -77,6 +79,16 @@ def txn_type_totals(txns: DataFrame) -> DataFrame:
                                         money(F.sum("txn_amount")).alias("total_amount"))
 
 
+PERCENTILES = ((0.25, "p25"), (0.5, "p50"), (0.95, "p95"))
+
+
+def txn_amount_percentiles(txns: DataFrame) -> DataFrame:
+    """p25/p50/p95 of the amounts of each transaction type (exact ``percentile_cont``, in cents)."""
+    cents = txns.select("txn_type", (F.col("txn_amount") * 100).cast("bigint").alias("cents"))
+    q = exact_quantiles_by(cents, ["txn_type"], "cents", [p for p, _ in PERCENTILES], [n for _, n in PERCENTILES])
+    return q.select("txn_type", *[round_double(F.col(n) / F.lit(100.0)).alias(n) for _, n in PERCENTILES])
+
+
 def avg_deposits(txns: DataFrame) -> DataFrame:
     """Mean over customers of their deposit count and of their mean deposit.
 
@@ -129,7 +141,13 @@ def pct_balance_growth(txns: DataFrame, growth: str = "1.05") -> DataFrame:
     return fl.agg(pct(F.count_if(hit), F.count(F.lit(1))).alias("customers_5pct"))
 
 
-# ---- data allocation (dense grids) -----------------------------------------------------------------
+# ---- data allocation ------------------------------------------------------------------------------
+def _net(txns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flows per customer and day, and the span of days (one row)."""
+    day = F.col("txn_date").cast("date")
+    return flows(txns, "customer_id", day, signed_amount()), span(txns, day)
+
+
 def daily_running_balance(txns: DataFrame) -> DataFrame:
     """Balance of every customer on every day between the first and last transaction."""
     return dense_running_total(txns, "customer_id", "txn_date", signed_amount(), "day", "day", "running_balance") \
@@ -144,37 +162,55 @@ def monthly_balance_dense(txns: DataFrame) -> DataFrame:
 
 
 def balance_stats(txns: DataFrame) -> DataFrame:
-    rb = daily_running_balance(txns)
-    return rb.groupBy("customer_id").agg(
-        F.min("running_balance").alias("min_balance"),
-        ratio(F.sum("running_balance"), F.count("running_balance")).alias("avg_balance"),
-        F.max("running_balance").alias("max_balance"))
+    """Least, mean and greatest daily balance of every customer over the whole span.
+
+    Each balance weighs as many days as it held; the days before a customer's first transaction hold 0."""
+    net, bounds = _net(txns)
+    s = steps(net).crossJoin(F.broadcast(bounds))  # one row
+    days = F.datediff(F.coalesce("nd", F.date_add("hi", 1)), "d")
+    per = s.groupBy("key").agg(
+        F.min("level").alias("least"), F.max("level").alias("most"), F.sum(F.col("level") * days).alias("area"),
+        F.max(F.datediff("hi", "lo") + 1).alias("days"), (F.min("d") > F.first("lo")).alias("late"))
+    none = F.when(F.col("late"), F.lit(0))
+    return per.select(F.col("key").alias("customer_id"), money(F.least("least", none)).alias("min_balance"),
+                      ratio("area", "days").alias("avg_balance"), money(F.greatest("most", none)).alias("max_balance"))
 
 
 def allocation_prev_month(txns: DataFrame) -> DataFrame:
-    """Option 1: per month, the sum of every customer's previous month-end balance."""
-    mb = monthly_balance_dense(txns)
-    prev = F.lag("closing_balance").over(Window.partitionBy("customer_id").orderBy("month"))
-    return (mb.withColumn("prev", prev).filter(F.col("prev").isNotNull())
-            .groupBy("month").agg(_round0(F.sum("prev")).alias("total_allocation_option1")))
+    """Option 1: per month, the sum of every customer's previous month-end balance.
+
+    That is the running total of all flows up to the month: no customer is looked at."""
+    return (carried_by_month(*_net(txns)).filter(F.col("carried").isNotNull())
+            .select("month", _round0(F.col("carried")).alias("total_allocation_option1")))
 
 
 def allocation_avg_30d(txns: DataFrame, days: int = 30) -> DataFrame:
     """Option 2: per month, the sum over customers of their trailing ``days``-day
-    mean balance on the month's last day (one value per customer-month)."""
-    rb = daily_running_balance(txns)
-    w = Window.partitionBy("customer_id").orderBy("day").rowsBetween(-(days - 1), 0)
-    trailing = rb.select("customer_id", "day",
-                         F.sum("running_balance").over(w).alias("s"), F.count("running_balance").over(w).alias("n"))
-    last = (trailing.groupBy("customer_id", F.trunc("day", "month").alias("month"))
-            .agg(F.max_by(F.struct("s", "n"), "day").alias("l")))
-    micro = F.round(F.lit(float(MICRO)) * F.col("l.s").cast("double") / F.col("l.n").cast("double")).cast("bigint")
-    return last.groupBy("month").agg(ratio(F.sum(micro), F.lit(MICRO), 0).alias("total_allocation_option2"))
+    mean balance on the month's last day (one value per customer-month).
+
+    The mean is the difference of two prefix sums of balance × days, looked up at both ends of the window."""
+    net, bounds = _net(txns)
+    end = F.least(F.add_months("month", 1), F.date_add("hi", 1))  # the day after the window
+    windows = months(bounds).select("month", end.alias("end"), F.greatest(F.date_sub(end, days), "lo").alias("begin"))
+    ends = F.broadcast(windows.select("month", F.datediff("end", "begin").alias("n"), F.inline(F.array(
+        F.struct(F.col("end").alias("t"), F.lit(1).alias("sign")), F.struct(F.col("begin").alias("t"), F.lit(-1).alias("sign"))))))
+    found = at_dates(steps(net), ends.select("t").distinct()).join(ends, "t")  # two rows a month
+    per = found.groupBy("key", "month", "n").agg(F.sum(F.col("area") * F.col("sign")).alias("s"))
+    micro = F.round(F.lit(float(MICRO)) * F.col("s").cast("double") / F.col("n").cast("double")).cast("bigint")
+    return per.groupBy("month").agg(ratio(F.sum(micro), F.lit(MICRO), 0).alias("total_allocation_option2"))
 
 
 def allocation_realtime(txns: DataFrame) -> DataFrame:
-    """Option 3: per month, the sum over customers of their maximum daily balance."""
-    rb = daily_running_balance(txns)
-    per = rb.groupBy("customer_id", F.trunc("day", "month").alias("month")) \
-        .agg(F.max("running_balance").alias("m"))
-    return per.groupBy("month").agg(_round0(F.sum("m")).alias("total_allocation_option3"))
+    """Option 3: per month, the sum over customers of their maximum daily balance.
+
+    Customers without a flow in a month hold what they held before: together that is the running total of
+    all flows, less what those with a flow brought in."""
+    net, bounds = _net(txns)
+    begin = F.greatest(F.trunc("d", "month"), F.col("lo"))
+    s = steps(net).crossJoin(F.broadcast(bounds)).withColumn("begin", begin)  # one row
+    per = s.groupBy("key", F.trunc("d", "month").alias("month")).agg(
+        F.max("level").alias("most"), F.min_by(F.col("level") - F.col("v"), "d").alias("brought"),
+        (F.min("d") > F.first("begin")).alias("seen"))
+    above = per.groupBy("month").agg(F.sum(F.greatest("most", F.when(F.col("seen"), F.col("brought"))) - F.col("brought")).alias("above"))
+    total = F.coalesce("carried", F.lit(0)) + F.coalesce("above", F.lit(0))
+    return carried_by_month(net, bounds).join(above, "month", "left").select("month", _round0(total).alias("total_allocation_option3"))

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import avg_exact, money, pct, round_double
-from .patterns import exact_quantiles, share_of_total, top_k, top_k_per_group
+from .combinations import combinations
+from .patterns import share_of_total, top_k, top_k_per_group
+from .selection import exact_quantiles
 
 def _cent():
     return F.lit(Decimal("0.01"))
@@ -176,23 +178,19 @@ def product_penetration(sales: DataFrame, product: DataFrame) -> DataFrame:
             .select("product_id", "product_name", pct(F.col("n"), F.col("total")).alias("penetration_percentage")))
 
 
-def top_product_triple(sales: DataFrame, product: DataFrame, k: int = 1) -> DataFrame:
-    """Most frequent combination of 3 different products in one transaction (ties: smallest ids).
-
-    Pairs and triples come from equi-joins on the transaction with ``<`` on the
-    product id, so a basket's combinations are rows that stream through the
-    partial count, never one array; the few winners get their names at the end.
-    """
-    def bought(n: int) -> DataFrame:
-        return sales.select("txn_id", F.col("prod_id").alias(f"p{n}")).distinct()
-
-    triples = (bought(1).join(bought(2), "txn_id").filter("p1 < p2").join(bought(3), "txn_id").filter("p2 < p3")
-               .groupBy("p1", "p2", "p3").agg(F.count(F.lit(1)).alias("combination_count")))
-    best = top_k(triples, [F.col("combination_count").desc(), "p1", "p2", "p3"], k)
-    for n in (1, 2, 3):
+def top_product_sets(sales: DataFrame, product: DataFrame, size: int, k: int = 1) -> DataFrame:
+    """The ``k`` most frequent combinations of ``size`` different products in one transaction (ties: smallest
+    ids), counted level by level with an exact bound; the few winners get their names at the end."""
+    best = combinations(sales, "txn_id", "prod_id", size, k).best
+    for n in range(1, size + 1):
         named = product.select(F.col("product_id").alias(f"p{n}"), F.col("product_name").alias(f"product_{n}"))
         best = best.join(named, f"p{n}")
-    return best.select("product_1", "product_2", "product_3", "combination_count")
+    return best.select(*[f"product_{n}" for n in range(1, size + 1)], F.col("n").alias("combination_count"))
+
+
+def top_product_triple(sales: DataFrame, product: DataFrame, k: int = 1) -> DataFrame:
+    """Most frequent combination of 3 different products in one transaction."""
+    return top_product_sets(sales, product, 3, k)
 
 
 def flatten_hierarchy(hierarchy: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pct, ratio, round_double
+from ..functions.numeric import money, pct, ratio, round_double
+from .intervals import interval_join
 from .patterns import top_k, top_k_per_group
 
 # Event type codes and the checkout page.
@@ -196,3 +197,15 @@ def campaign_metrics(summary: DataFrame) -> DataFrame:
         F.struct(F.lit(m).alias("metric"), ratio(F.col(f"{c}_1"), F.col("n_1"), 4).alias("exposed"),
                  ratio(F.col(f"{c}_0"), F.col("n_0"), 4).alias("unexposed")) for m, c in VISIT_METRICS.items()])))
     return rows.withColumn("uplift", round_double(F.col("exposed") - F.col("unexposed"), 4))
+
+
+def promotion_orders(promotions: DataFrame, txns: DataFrame) -> DataFrame:
+    """Transactions and money in each promotion's window; promotions overlap, and any number of them may.
+
+    Transactions of a day are one row before they meet the windows."""
+    days = txns.groupBy("txn_date").agg(F.count(F.lit(1)).alias("n"), F.sum("txn_amount").alias("amount"))
+    met = interval_join(days, promotions, "txn_date", "start_date", "end_date")
+    per = met.groupBy("promotion_id").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+    return promotions.join(per, "promotion_id", "left").select(
+        "promotion_id", "start_date", "end_date", F.coalesce("n", F.lit(0)).alias("txn_count"),
+        money(F.coalesce("amount", F.lit(0))).alias("txn_amount"))

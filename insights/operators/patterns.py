@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct
+from . import levels
 
 
 def _cols(cs) -> list:
@@ -90,55 +91,13 @@ def dense_running_total(df: DataFrame, key: str, date_col: str, value: Column, g
                         period: str = "period", out: str = "running_total") -> DataFrame:
     """Running total of ``value`` per key over EVERY period of the data's span.
 
-    Grid = distinct keys × broadcast calendar.  The grid (value 0) and the
-    per-(key, period) flows are unioned, partitioned once by key, summed per
-    period and accumulated with a window whose partition is one key's periods
-    (bounded by the calendar length).
+    The flows are summed per (key, period) and accumulated over the periods
+    with a flow; each then covers its own periods up to the next one
+    (``levels.fill``), so no key x period grid goes through a shuffle.
     """
-    p = F.trunc(F.col(date_col).cast("date"), "month") if grain == "month" else F.col(date_col).cast("date")
-    flows = df.groupBy(key, p.alias(period)).agg(F.sum(value).alias("__v"))
-    cal = calendar(df, date_col, grain, period)
-    grid = flows.select(key).distinct().crossJoin(F.broadcast(cal)) \
-        .select(key, period, F.lit(0).cast(flows.schema["__v"].dataType).alias("__v"))
-    w = Window.partitionBy(key).orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
-    return (grid.unionByName(flows).repartition(key)
-            .groupBy(key, period).agg(F.sum("__v").alias("__v"))
-            .select(key, period, F.sum("__v").over(w).alias(out)))
-
-
-RANGES = 64
-
-
-def exact_quantiles(values: DataFrame, col: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """Exact ``percentile_cont`` of ``col`` for several ``probs``, as one row, in one lazy plan.
-
-    Values are first counted, so a value that most rows share is one row.  The
-    distinct values are dealt over ``RANGES`` ranges of about equal row counts
-    (approximate quantiles as edges); the ranges' totals, a row each, say in
-    which range each wanted rank lies, and only those ranges are numbered by a
-    running count.  ``col`` should be exact (integer-scaled), so the
-    interpolation is exact.
-    """
-    kept = values.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    edges = kept.agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 10_000).alias("edges"))
-    counted = (kept.groupBy("v").agg(F.count(F.lit(1)).alias("c")).crossJoin(F.broadcast(edges))
-               .select("v", "c", F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("bin")))
-    sizes = counted.groupBy("bin").agg(F.sum("c").alias("n"))
-    offsets = sizes.select("bin", "n", (F.sum("n").over(Window.orderBy("bin")) - F.col("n")).alias("off"))
-    total = sizes.agg(F.sum("n").alias("total"))
-    want = total.select("total", F.inline(F.array(*[
-        F.struct(F.lit(i).alias("q"), F.lit(float(x)).alias("p")) for i, x in enumerate(probs)]))) \
-        .select("q", ((F.col("total") - 1) * F.col("p")).alias("pos"))
-    ranks = want.select("q", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank")).distinct()
-    located = ranks.join(F.broadcast(offsets), (F.col("rank") >= F.col("off"))
-                         & (F.col("rank") < F.col("off") + F.col("n"))).select("q", "pos", "rank", "bin", "off")
-    run = F.sum("c").over(Window.partitionBy("q", "rank").orderBy("v")) + F.col("off")
-    picked = (counted.join(F.broadcast(located), "bin").withColumn("upto", run)
-              .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("c"))))
-    v = F.col("v").cast("double")
-    per = picked.groupBy("q", "pos").agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    x = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
-    return per.agg(*[F.max(F.when(F.col("q") == i, x)).alias(nm) for i, nm in enumerate(names)])
+    d = F.col(date_col).cast("date")
+    at = F.trunc(d, "month") if grain == "month" else d
+    return levels.fill(levels.flows(df, key, at, value), levels.span(df, at), grain).select(F.col("key").alias(key), F.col("d").alias(period), F.col("level").alias(out))
 
 
 def previous_by(df: DataFrame, key: str, day: str, order: str, value: str, out: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import parse_date
 from ..functions.numeric import pct, ratio
 from .patterns import top_k, top_k_per_group, top_k_with_ties
+from .selection import global_ranks
 
 MIN_MONTHS = 6
 
@@ -135,6 +136,12 @@ def top_bottom_composition(filtered: DataFrame, interest_map: DataFrame, k: int
     return top.unionByName(bottom).select("category", "interest_name", "month_year", "composition")
 
 
+def composition_ranks(filtered: DataFrame) -> DataFrame:
+    """Every interest's composition in every month, ranked over all of them from both ends (ties share a rank)."""
+    rows = filtered.select("interest_id", "month_year", "composition")
+    return global_ranks(rows, "composition", "rank_asc", "rank_desc", "dense_rank_asc")
+
+
 def lowest_avg_ranking(filtered: DataFrame, interest_map: DataFrame, k: int = 5,
                        min_months: int = MIN_MONTHS) -> DataFrame:
     per = keep_qualified(filtered, min_months).groupBy("interest_id") \

@@ -21,6 +21,7 @@ def _levels(table: str, at: str, step: str) -> str:
 
 
 _DAILY = _levels("v_txns_daily", "txn_date", "1 DAY")
+_YEARS = _levels("v_txns_monthly", "txn_date", "1 DAY")
 _MONTHLY = _levels("v_txns_monthly", "make_date(year(txn_date), month(txn_date), 1)", "1 MONTH")
 _MONTH = "CAST(date_trunc('month', dt) AS DATE)"
 
@@ -51,6 +52,10 @@ SQL = {
           FROM v_txns_monthly WHERE txn_type = 'deposit' GROUP BY customer_id)
         SELECT {RATIO('sum(times)', 'count(*)', 0)} AS avg_total_deposits,
                {RATIO('sum(mean)', 'count(*) * 1000000', 2)} AS avg_amount FROM paid_in""",
+    "txn_amount_percentiles": f"""
+        SELECT txn_type, {', '.join(f"{RD(f'q[{i}] / 100.0')} AS {n}" for i, n in ((1, 'p25'), (2, 'p50'), (3, 'p95')))}
+        FROM (SELECT txn_type, quantile_cont(CAST(txn_amount * 100 AS BIGINT), [0.25, 0.5, 0.95]) AS q
+              FROM v_txns_monthly GROUP BY txn_type)""",
     "active_customers_per_month": """
         SELECT txn_month, count(*) AS customer_count
         FROM (SELECT make_date(year(txn_date), month(txn_date), 1) AS txn_month, customer_id FROM v_txns_monthly
@@ -65,14 +70,14 @@ SQL = {
         FROM ends""",
     "daily_running_balance": f"{_DAILY} SELECT who AS customer_id, dt AS day, level AS running_balance FROM filled",
     "monthly_balance_dense": f"{_MONTHLY} SELECT who AS customer_id, dt AS month, level AS closing_balance FROM filled",
-    "balance_stats": f"""{_DAILY}
+    "balance_stats": f"""{_YEARS}
         SELECT who AS customer_id, min(level) AS min_balance, {RATIO('sum(level)', 'count(*)')} AS avg_balance,
                max(level) AS max_balance FROM filled GROUP BY who""",
     "allocation_prev_month": f"""{_MONTHLY}
         SELECT CAST(dt + INTERVAL 1 MONTH AS DATE) AS month,
                CAST(round(sum(level)) AS DECIMAL(18,0)) AS total_allocation_option1
         FROM filled WHERE dt < (SELECT max(dt) FROM periods) GROUP BY dt""",
-    "allocation_avg_30d": f"""{_DAILY},
+    "allocation_avg_30d": f"""{_YEARS},
         month_ends AS (SELECT max(dt) AS dt FROM periods GROUP BY {_MONTH}),
         means AS (  -- of the last thirty days up to each month's last day
           SELECT month_ends.dt, CAST(round(1000000.0 * CAST(sum(level) AS DOUBLE) / count(*)) AS BIGINT) AS mean
@@ -80,7 +85,7 @@ SQL = {
           GROUP BY month_ends.dt, who)
         SELECT {_MONTH} AS month, {RATIO('sum(mean)', '1000000', 0)} AS total_allocation_option2
         FROM means GROUP BY ALL""",
-    "allocation_realtime": f"""{_DAILY},
+    "allocation_realtime": f"""{_YEARS},
         peaks AS (SELECT {_MONTH} AS month, max(level) AS peak FROM filled GROUP BY month, who)
         SELECT month, CAST(round(sum(peak)) AS DECIMAL(18,0)) AS total_allocation_option3 FROM peaks GROUP BY month""",
 }

@@ -1,6 +1,6 @@
 """Check SQL (DuckDB) for case 6, written from the questions."""
 
-from .sqlfn import PCT, RATIO, RD
+from .sqlfn import MONEY, PCT, RATIO, RD
 from .views import with_views
 
 VIEW, ADD, BUY, SHOWN, CLICKED = 1, 2, 3, 4, 5
@@ -52,6 +52,10 @@ def _highest(rate: str, name: str) -> str:
 
 
 SQL = {
+    "promotion_orders": f"""
+        SELECT promotion_id, start_date, end_date, count(txn_date) AS txn_count,
+               {MONEY('coalesce(sum(txn_amount), 0)')} AS txn_amount
+        FROM v_promotions LEFT JOIN v_txns_monthly ON txn_date BETWEEN start_date AND end_date GROUP BY ALL""",
     "total_users": "SELECT count(*) AS total_users FROM (SELECT DISTINCT user_id FROM v_users)",
     "avg_cookies_per_user": f"""
         SELECT {RATIO('count(cookie_id)', 'count(DISTINCT user_id)')} AS avg_cookies_per_user FROM v_users""",

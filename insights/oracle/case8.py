@@ -78,6 +78,11 @@ SQL = {
     "unique_interests_per_month": _q("""
         SELECT month_year, count(*) AS unique_interest_count
         FROM (SELECT DISTINCT month_year, interest_id FROM enough) GROUP BY month_year"""),
+    "composition_ranks": _q("""
+        SELECT interest_id, month_year, composition,
+               rank() OVER (ORDER BY composition NULLS FIRST) AS rank_asc,
+               rank() OVER (ORDER BY composition DESC NULLS LAST) AS rank_desc,
+               dense_rank() OVER (ORDER BY composition NULLS FIRST) AS dense_rank_asc FROM known"""),
     "top_bottom_composition": _q(f"""
         , peaks AS (
           SELECT interest_name, max(composition) AS composition,

@@ -135,6 +135,10 @@ VIEW_SQL: dict[str, str] = {
     "v_event_identifier": """
         SELECT * FROM (VALUES (1, 'Page View'), (2, 'Add to Cart'), (3, 'Purchase'), (4, 'Ad Impression'),
                               (5, 'Ad Click')) AS t(event_type, event_name)""",
+    "v_promotions": """
+        SELECT s_suppkey AS promotion_id, DATE '1992-01-01' + CAST(s_suppkey * 37 % 2400 AS INTEGER) AS start_date,
+               DATE '1992-01-01' + CAST(s_suppkey * 37 % 2400 + s_suppkey * 11 % 61 AS INTEGER) AS end_date
+        FROM supplier""",
     "v_campaigns": """
         SELECT campaign_id, products, campaign_name, CAST(s AS TIMESTAMP) AS start_date, CAST(e AS TIMESTAMP) AS end_date
         FROM (VALUES (1, '1-3', 'Spring Catch', '2024-01-01 00:00:00', '2024-01-08 00:00:00'),

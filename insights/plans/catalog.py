@@ -62,6 +62,7 @@ _reg("monthly_sales_report", lambda v: R.monthly_sales_report(
     v.sales(*MONEY_COLUMNS, "start_txn_time"), REPORT_YEAR, REPORT_MONTH))
 _reg("monthly_txn_report", lambda v: R.monthly_txn_report(
     v.sales("txn_id", "prod_id", "member", *MONEY_COLUMNS, "start_txn_time"), REPORT_YEAR, REPORT_MONTH))
+_reg("top_product_pairs", lambda v: B.top_product_sets(v.sales("prod_id", "txn_id"), v.v_product, 2, 10))
 _reg("flatten_hierarchy", lambda v: B.flatten_hierarchy(v.v_hierarchy))
 
 
@@ -153,10 +154,11 @@ _reg("monthly_closing_balance", lambda v: K.monthly_closing_balance(v.v_txns_mon
 _reg("pct_balance_growth", lambda v: K.pct_balance_growth(v.v_txns_monthly))
 _reg("daily_running_balance", lambda v: K.daily_running_balance(v.v_txns_daily))
 _reg("monthly_balance_dense", lambda v: K.monthly_balance_dense(v.v_txns_monthly))
-_reg("balance_stats", lambda v: K.balance_stats(v.v_txns_daily))
+_reg("balance_stats", lambda v: K.balance_stats(v.v_txns_monthly))
 _reg("allocation_prev_month", lambda v: K.allocation_prev_month(v.v_txns_monthly))
-_reg("allocation_avg_30d", lambda v: K.allocation_avg_30d(v.v_txns_daily))
-_reg("allocation_realtime", lambda v: K.allocation_realtime(v.v_txns_daily))
+_reg("allocation_avg_30d", lambda v: K.allocation_avg_30d(v.v_txns_monthly))
+_reg("txn_amount_percentiles", lambda v: K.txn_amount_percentiles(v.v_txns_monthly))
+_reg("allocation_realtime", lambda v: K.allocation_realtime(v.v_txns_monthly))
 
 
 # ---- case 5 ----------------------------------------------------------------------------------
@@ -210,6 +212,7 @@ _reg("avg_view_to_cart", lambda v: FN.avg_view_to_cart(_funnel(v)))
 _reg("avg_cart_to_purchase", lambda v: FN.avg_cart_to_purchase(_funnel(v)))
 _reg("visit_summary", _visits)
 _reg("campaign_uplift", lambda v: FN.campaign_uplift(_visits(v)))
+_reg("promotion_orders", lambda v: FN.promotion_orders(v.v_promotions, v.v_txns_monthly))
 _reg("campaign_metrics", lambda v: FN.campaign_metrics(_visits(v)))
 
 
@@ -243,6 +246,7 @@ _reg("cumulative_pct_by_months", lambda v: G.cumulative_pct_by_months(_sparse(v)
 _reg("rows_removed_below_threshold", lambda v: G.rows_removed_below_threshold(_sparse(v)))
 _reg("unique_interests_per_month", lambda v: G.unique_interests_per_month(_sparse(v)))
 _reg("top_bottom_composition", lambda v: G.top_bottom_composition(_filtered(v), v.v_interest_map))
+_reg("composition_ranks", lambda v: G.composition_ranks(_filtered(v)))
 _reg("lowest_avg_ranking", lambda v: G.lowest_avg_ranking(_filtered(v), v.v_interest_map))
 _reg("most_volatile_interests", lambda v: G.most_volatile_interests(_filtered(v), v.v_interest_map))
 _reg("volatile_extremes", lambda v: G.volatile_extremes(_filtered(v), v.v_interest_map))

@@ -320,6 +320,14 @@ class Views:
                     F.to_timestamp_ntz(F.col("s")).alias("start_date"),
                     F.to_timestamp_ntz(F.col("e")).alias("end_date")))
 
+    @cached_property
+    def v_promotions(self) -> DataFrame:
+        """One promotion per supplier: from some day of 1992 to 1998 on, for up to 60 days."""
+        start = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("s_suppkey") * 37 % 2400).cast("int"))
+        return self.t.supplier.select(
+            F.col("s_suppkey").alias("promotion_id"), start.alias("start_date"),
+            F.date_add(start, (F.col("s_suppkey") * 11 % 61).cast("int")).alias("end_date"))
+
     # ---- case 7: hierarchy ---------------------------------------------------------------------
     @cached_property
     def v_hierarchy(self) -> DataFrame:

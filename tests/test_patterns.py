@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from insights.operators import patterns as P
+from insights.operators.selection import exact_quantiles
 from insights.operators.loyalty import rank_by
 
 
@@ -66,7 +67,7 @@ def test_exact_quantiles_match_percentile(spark):
     for hot, n in ((0.33, 3001), (0.9, 2000), (0.0, 1), (0.0, 2), (0.5, 4)):
         vals = [500 if rnd.random() < hot else rnd.randint(-2000, 2000) for _ in range(n)] + [None]
         df = spark.createDataFrame([(v,) for v in vals], "s long")
-        got = P.exact_quantiles(df, "s", probs, names).collect()[0]
+        got = exact_quantiles(df, "s", probs, names).collect()[0]
         want = df.agg(*[F.percentile("s", p).alias(n) for p, n in zip(probs, names)]).collect()[0]
         assert [got[n] for n in names] == [want[n] for n in names]
 
