@@ -30,7 +30,8 @@ from insights.plans.sinks import materialize
 
 CAPACITY = 2048
 END = 0
-BUCKETS = 64
+#: buckets that the pieces of a length are numbered in, at least; more where a bucket would hold more rows
+BUCKETS, BUCKET_ROWS = 64, 100_000
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -89,6 +90,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     cut = materialize(pieces(docs, capacity), "pieces")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # capacity rows at most
     slots = slot_table(solve(histogram, capacity))
+    buckets = max(BUCKETS, -(-max(histogram.values(), default=0) // BUCKET_ROWS))
     table = docs.sparkSession.sparkContext.broadcast(slots)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,5 +109,5 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                  pa.array(s["base"][at] + nth % m), pa.array(s["offset"][at] + nth // m * length)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
+    return ranked(cut, buckets).select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
         place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

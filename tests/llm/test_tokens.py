@@ -71,7 +71,7 @@ def test_token_files_round_trip(odd, odd_rows, none, docs001):
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 400), max_size=40))
 def test_configurations_cover_the_histogram(histogram):
-    groups = configurations.solve(histogram, 64, rounds=30)
+    groups = configurations.solve(histogram, 64)
     covered = {}
     for config, m in groups:
         assert sum(n * a for n, a in config.items()) <= 64 and m > 0
@@ -80,6 +80,61 @@ def test_configurations_cover_the_histogram(histogram):
     assert covered == histogram
 
 
+def test_the_program_places_nearly_all_of_the_documents():
+    """On the lengths of 10,000 documents, and of many more: what best fit places is a small part."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").to_pylist()
+    encoder, histogram = tokens.encoder(tokens.WORD_BPE), {}
+    for lo, hi in tokens.slices(texts):
+        for ids in encoder.encode(texts[lo:hi], packing.END):
+            full, rest = divmod(len(ids) // tokens.ID.itemsize, packing.CAPACITY)
+            for n, k in ((packing.CAPACITY, full), (rest, 1)):
+                if n and k:
+                    histogram[n] = histogram.get(n, 0) + k
+    for times in (1, 1000):
+        pieces = {n: k * times for n, k in histogram.items()}
+        total = sum(n * k for n, k in pieces.items())
+        groups, left = configurations.program(pieces, packing.CAPACITY)
+        assert sum(m * n * a for c, m in groups for n, a in c.items()) + left @ np.arange(len(left)) == total
+        assert left @ np.arange(len(left)) < 0.1 * total
+        used = sum(m for _, m in configurations.best_fit(groups, left, packing.CAPACITY))
+        assert used <= 1.002 * -(-total // packing.CAPACITY)
+
+
+def test_program_against_exact_optimum():
+    """Small instances: never below the true least number of sequences, seldom above."""
+    import itertools
+
+    def least(items, capacity):
+        for m in range(1, len(items) + 1):
+            bins = [0] * m
+
+            def place(k):
+                if k == len(items):
+                    return True
+                for j in range(m):
+                    if bins[j] + items[k] <= capacity and bins[j] not in bins[:j]:
+                        bins[j] += items[k]
+                        if place(k + 1):
+                            return True
+                        bins[j] -= items[k]
+                return False
+
+            if place(0):
+                return m
+        return 0
+
+    rng, above = np.random.default_rng(3), 0
+    for _ in range(60):
+        items = sorted(rng.integers(1, 21, rng.integers(1, 9)).tolist(), reverse=True)
+        histogram = {n: len(list(g)) for n, g in itertools.groupby(items)}
+        used, best = sum(m for _, m in configurations.solve(histogram, 20)), least(items, 20)
+        assert used >= best
+        above += used - best
+    assert above <= 3
+
+
 def test_configurations_come_near_the_bound():
     rng = np.random.default_rng(1)
     lengths = np.clip(rng.lognormal(6.2, 1.0, 60_000).astype(int), 1, 2048)
