@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import avg_exact, money, pct, round_double
 from .combinations import combinations
+from .hierarchy import ancestry
 from .patterns import share_of_total, top_k, top_k_per_group
 from .selection import exact_quantiles
 
@@ -211,3 +212,8 @@ def flatten_hierarchy(hierarchy: DataFrame) -> DataFrame:
                     F.col("l.id").alias("style_id"),
                     F.col("t.level_text").alias("category_name"), F.col("m.level_text").alias("segment_name"),
                     F.col("l.level_text").alias("style_name")))
+
+
+def hierarchy_paths(hierarchy: DataFrame) -> DataFrame:
+    """Root, depth and path of every node of a hierarchy of any depth; orphans and circles are named."""
+    return ancestry(hierarchy).select("id", "root", "depth", "status", F.concat_ws("/", "path").alias("path"))

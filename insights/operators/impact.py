@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import dow_sunday0, parse_short_date
 from ..functions.numeric import money, pct, ratio
+from .cubes import iceberg_cube
 from .patterns import share_of_total
 
 # Segment code → age band (by its digit) and demographic (by its letter).
@@ -147,3 +148,16 @@ def impact_by_dimension(clean: DataFrame, event: dt.date, weeks: int = 12,
     b, a = _window_sums(event, weeks)
     g = stacked.groupBy("dimension", "dimension_value").agg(b.alias("before_sales"), a.alias("after_sales"))
     return _impact(g, var="variance")
+
+
+def hardest_hit_segments(clean: DataFrame, event: dt.date, weeks: int = 12, share: float = 0.02,
+                         dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
+    """Before/after of every segment, any combination of dimension values, that made at least ``share`` of the
+    sales before the event."""
+    lo, hi = event - dt.timedelta(weeks=weeks), event + dt.timedelta(weeks=weeks)
+    near = clean.filter((F.col("week_date") >= F.lit(lo)) & (F.col("week_date") < F.lit(hi)))
+    early, none = F.col("week_date") < F.lit(event), F.lit(0).cast("decimal(18,2)")
+    groups = iceberg_cube(near, dimensions, F.when(early, F.col("sales")).otherwise(none), share,
+                          {"after_sales": F.when(early, none).otherwise(F.col("sales"))})
+    named = groups.select(*dimensions, "n_fixed", money(F.col("support")).alias("before_sales"), money(F.col("after_sales")).alias("after_sales"))
+    return _impact(named, var="variance")

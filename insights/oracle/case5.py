@@ -89,6 +89,15 @@ SQL = {
                  {MONEY('sum(sales) FILTER (week_date >= event)')} AS new
           FROM events JOIN dated ON week_date >= event - 28 AND week_date < event + 28 GROUP BY ALL)
         SELECT calendar_year, old AS sales_before, new AS sales_after, {_change('variance')} FROM sides"""),
+    "hardest_hit_segments": _q(f"""
+        , near AS (SELECT *, week_date < {EVENT} AS early FROM dated WHERE abs(week_date - {EVENT} + 0.5) < 84),
+        cubed AS (
+          SELECT {', '.join(f"if(grouping({d}) = 1, '(all)', coalesce({d}, '(none)')) AS {d}" for d in DIMENSIONS)},
+                 CAST({' + '.join(f'1 - grouping({d})' for d in DIMENSIONS)} AS INTEGER) AS n_fixed,
+                 {MONEY('coalesce(sum(sales) FILTER (early), 0)')} AS old, {MONEY('coalesce(sum(sales) FILTER (NOT early), 0)')} AS new
+          FROM near GROUP BY CUBE ({', '.join(DIMENSIONS)}))
+        SELECT {', '.join(DIMENSIONS)}, n_fixed, old AS before_sales, new AS after_sales, {_change('variance')} FROM cubed
+        WHERE old >= 0.02 * (SELECT sum(sales) FROM near WHERE early)"""),
     "impact_by_dimension": _q(' UNION ALL '.join(
         f"""SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS dimension_value, old AS before_sales, new AS after_sales,
                    {_change('variance')} FROM ({_sides(d, 12)})""" for d in DIMENSIONS)),

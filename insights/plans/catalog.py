@@ -63,6 +63,7 @@ _reg("monthly_sales_report", lambda v: R.monthly_sales_report(
 _reg("monthly_txn_report", lambda v: R.monthly_txn_report(
     v.sales("txn_id", "prod_id", "member", *MONEY_COLUMNS, "start_txn_time"), REPORT_YEAR, REPORT_MONTH))
 _reg("top_product_pairs", lambda v: B.top_product_sets(v.sales("prod_id", "txn_id"), v.v_product, 2, 10))
+_reg("hierarchy_paths", lambda v: B.hierarchy_paths(v.v_hierarchy))
 _reg("flatten_hierarchy", lambda v: B.flatten_hierarchy(v.v_hierarchy))
 
 
@@ -182,6 +183,7 @@ _reg("avg_transaction_size", lambda v: I.avg_transaction_size(_clean(v)))
 _reg("before_after", lambda v: I.before_after(_clean(v), EVENT_WEEK, 4))
 _reg("before_after_12w", lambda v: I.before_after(_clean(v), EVENT_WEEK, 12))
 _reg("before_after_by_year", lambda v: I.before_after_by_year(_clean(v), EVENT_WEEK, 4))
+_reg("hardest_hit_segments", lambda v: I.hardest_hit_segments(_clean(v), EVENT_WEEK, 12))
 _reg("impact_by_dimension", lambda v: I.impact_by_dimension(_clean(v), EVENT_WEEK, 12))
 
 

@@ -40,7 +40,7 @@ def test_no_nested_loop_join_except_allowed(views001):
                # exact_quantiles: ≤ 2·k target ranks beside the counted values
                "txn_revenue_percentiles", "monthly_txn_report",
                # one-row bounds and totals
-               "composition_ranks"}
+               "composition_ranks", "hardest_hit_segments"}
     bad = []
     for k, f in QUERIES.items():
         if k in allowed:
@@ -69,7 +69,8 @@ def test_keys_read_only_the_tables_of_their_columns(views001):
 
 
 # keys that write intermediates: a level or a range partitioning that later steps read
-STEPWISE = {"top_product_triple", "monthly_product_report_top_product_triple", "top_product_pairs", "composition_ranks"}
+STEPWISE = {"top_product_triple", "monthly_product_report_top_product_triple", "top_product_pairs", "composition_ranks",
+            "hierarchy_paths"}
 
 
 def test_building_a_query_starts_no_job(spark, views001):
