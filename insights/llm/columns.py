@@ -22,3 +22,9 @@ def ascii_lower(c: Column) -> Column:
 def uniform(seed: int, *cols: Column) -> Column:
     """A number in [0, 1) that depends on the seed and the columns alone."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) * F.lit(2.0 ** -53)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """The row as one struct, so that columns worked out beside it can't clash with its own (``select("doc.*")``
+    gives it back)."""
+    return F.struct(*[df[c] for c in df.columns]).alias("doc")

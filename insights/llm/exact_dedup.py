@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from insights.llm.columns import ascii_lower, whole_text
+from insights.llm.columns import ascii_lower, whole_row, whole_text
 from insights.plans.sinks import materialize
 
 KEY = ["digest", "check", "length"]
@@ -77,12 +77,12 @@ def drop_copies(docs: DataFrame, runs: int = 16, fan_in: int = 4) -> DataFrame:
     stays = merge_runs(rows, runs, fan_in).select(*[F.col(k).alias(f"_{k}") for k in KEY],
                                                   F.col("stays.doc_id").alias("_id"))
     text = ascii_lower(whole_text(docs))
-    here = docs.withColumns({"__digest": F.unhex(F.sha2(text, 256)), "__check": F.xxhash64(text),
-                             "__length": F.octet_length(text)})
-    joined = here.join(stays, (F.col("__digest") == F.col("_digest")) & (F.col("__check") == F.col("_check"))
-                       & (F.col("__length") == F.col("_length")) & here["doc_id"].eqNullSafe(F.col("_id")), "inner")
+    here = docs.select(whole_row(docs), docs["doc_id"].alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"),
+                       F.xxhash64(text).alias("check"), F.octet_length(text).alias("length"))
+    joined = here.join(stays, (F.col("digest") == F.col("_digest")) & (F.col("check") == F.col("_check"))
+                       & (F.col("length") == F.col("_length")) & F.col("doc_id").eqNullSafe(F.col("_id")), "inner")
     only = Window.partitionBy("_digest", "_check", "_length").orderBy("_id")
-    return (joined.withColumn("__n", F.row_number().over(only)).filter("__n = 1").select(*docs.columns))
+    return joined.withColumn("n", F.row_number().over(only)).filter("n = 1").select("doc.*")
 
 
 SQL = """

@@ -20,10 +20,10 @@ one by one.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ DOUBT = 0.03
 LEAST_MARGIN = 0.002
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _SPACED = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
 
 

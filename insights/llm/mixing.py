@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from insights.llm.columns import uniform
+from insights.llm.columns import uniform, whole_row
 from insights.plans.sinks import materialize
 
 # Fixed values of the mix.
@@ -95,9 +95,8 @@ def mix(docs: DataFrame, seed: int = 5) -> DataFrame:
 def emit(docs: DataFrame, seed: int = 5) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, all its columns."""
     sized = materialize(sized_documents(docs, seed), "sizes")
-    rates = targets(sized).select(F.col("of").alias("__of"), F.col("rate").alias("__rate"))
     draw = uniform(seed, docs["doc_id"], docs["text"].cast("string"))
-    return (docs.join(rates, docs["source"].eqNullSafe(rates["__of"]))
-            .withColumn("__copies", copies(F.col("__rate"), draw)).filter("__copies > 0")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
-            .select(*docs.columns))
+    here = docs.select(whole_row(docs), docs["source"].alias("source"), draw.alias("draw"))
+    return (here.join(targets(sized), F.col("source").eqNullSafe(F.col("of")))
+            .withColumn("copies", copies(F.col("rate"), F.col("draw"))).filter("copies > 0")
+            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*"))

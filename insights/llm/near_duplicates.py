@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from insights.llm import shingles as S
+from insights.llm.columns import whole_row
 from insights.llm.graph import components
 from insights.plans.sinks import materialize
 
@@ -80,7 +81,8 @@ def distinct_sets(sketched: DataFrame) -> DataFrame:
     """set_id, digest, n, signature, rep_id (least doc_id), copies: one row per distinct set."""
     return (sketched.filter(F.col("digest").isNotNull()).groupBy("digest")
             .agg(F.first("n").alias("n"), F.first("signature").alias("signature"),
-                 F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies"))
+                 F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies"),
+                 F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).getField("h").alias("rep_h"))
             .withColumn("set_id", F.monotonically_increasing_id()))
 
 
@@ -203,7 +205,8 @@ def _with_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
                                   names=["set_id", "comp", "signature", "shingles"]).filter(own)
 
     own = docs.select(docs["doc_id"].cast("long").alias("_doc_id"), docs["text"].cast("string").alias("text"))
-    return (members.join(own, members["rep_id"].eqNullSafe(own["_doc_id"]))
+    own = own.withColumn("_h", F.xxhash64("text"))
+    return (members.join(own, members["rep_id"].eqNullSafe(own["_doc_id"]) & (members["rep_h"] == own["_h"]))
             .select("set_id", "comp", "signature", "digest", "text")
             .mapInArrow(run, "set_id long, comp long, signature binary, shingles binary"))
 
@@ -213,10 +216,10 @@ def links(docs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> Dat
     comps = materialize(components(candidate_edges(sets)), "candidates")
     sizes = comps.join(sets.select(F.col("set_id").alias("node"), "n"), "node").groupBy("comp").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = (comps.join(sizes, "comp").join(sets.select(F.col("set_id").alias("node"), "digest", "signature", "rep_id"),
+    members = (comps.join(sizes, "comp").join(sets.select(F.col("set_id").alias("node"), "digest", "signature", "rep_id", "rep_h"),
                                              "node")
                .withColumnRenamed("node", "set_id"))
-    whole = materialize(_with_shingles(docs, members.select("set_id", "comp", "signature", "digest", "rep_id")), "members")
+    whole = materialize(_with_shingles(docs, members.select("set_id", "comp", "signature", "digest", "rep_id", "rep_h")), "members")
     dealt = (whole.join(sizes, "comp")
              .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -264,8 +267,8 @@ def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     stays = (sketched.select("doc_id", "h", "digest").join(per_set, F.col("digest") == F.col("_digest"))
              .groupBy("class_set").agg(F.min(row).alias("row")).select("row")
              .unionByName(sketched.filter(F.col("digest").isNull()).select(row.alias("row")).distinct())
-             .select(F.col("row.doc_id").alias("__id"), F.col("row.h").alias("__h")))
-    here = docs.withColumn("__own", F.xxhash64(docs["text"].cast("string")))
-    joined = here.join(stays, (F.col("__own") == F.col("__h")) & here["doc_id"].eqNullSafe(F.col("__id")))
-    one = Window.partitionBy("__h", "__id").orderBy("__own")
-    return joined.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*docs.columns)
+             .select(F.col("row.doc_id").alias("id"), F.col("row.h").alias("h")))
+    here = docs.select(whole_row(docs), docs["doc_id"].alias("own_id"), F.xxhash64(docs["text"].cast("string")).alias("own_h"))
+    joined = here.join(stays, (F.col("own_h") == F.col("h")) & F.col("own_id").eqNullSafe(F.col("id")))
+    one = Window.partitionBy("h", "id").orderBy("own_h")
+    return joined.withColumn("n", F.row_number().over(one)).filter("n = 1").select("doc.*")

@@ -91,3 +91,33 @@ def test_language_without_rows_or_labels(none, odd):
     from pyspark.sql import functions as F
     assert language.predict(none).count() == 0
     assert {r["lang_pred"] for r in language.predict(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_texts_without_letters_are_unknown(spark, docs001):
+    from insights.llm import language
+
+    signs = spark.createDataFrame([(900_000 + k, t, None, "x", 1) for k, t in enumerate(["²", "Ⅷ ½", "①", "12 + 3", "_"])], docs001.schema)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs001.unionByName(signs)).filter("doc_id >= 900000").collect()}
+    assert set(got.values()) == {"und"} and len(got) == 5
+
+
+def test_predictions_against_compression_by_hand(spark, docs001):
+    """The same dictionaries, each text compressed on its own: the smallest wins, narrow margins and no letters are unknown."""
+    import zstandard
+
+    from insights.llm import language
+
+    contents = language.sample(docs001)
+    docs = docs001.limit(60)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs001).collect()}
+    level = {n: zstandard.ZstdCompressor(level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(
+        c, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, c in contents.items()}
+    same = 0
+    for r in docs.collect():
+        data = language.plain(r["text"] or "")
+        if not data:
+            assert got[r["doc_id"]] == "und"
+            continue
+        sizes = sorted((len(z.compress(data)), n) for n, z in level.items())
+        same += got[r["doc_id"]] in (sizes[0][1], "und")
+    assert same >= 55
