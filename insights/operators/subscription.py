@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money, pct, ratio
+from .paths import ordered_paths
 from .patterns import previous_by, share_of_total
 
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
@@ -156,6 +157,15 @@ def downgrades_in_year(events: DataFrame, year: int, from_plan: int = PRO, to_pl
     return hits.agg(F.countDistinct("customer_id").alias("nb_downgrades"))
 
 
+def upgrade_paths(events: DataFrame, path: Sequence[int] = (BASIC, PRO, ANNUAL)) -> DataFrame:
+    """Per customer: how many plans of ``path`` were taken in order (others may lie between), and the
+    fewest days from the first to the last of them.  Customers without the first plan are left out."""
+    day = F.datediff("start_date", F.lit("1970-01-01").cast("date"))
+    steps = [F.col("plan_id") == p for p in path]
+    taken = ordered_paths(events, "customer_id", day, ["event_id"], steps)
+    return taken.filter("reached > 0").select("customer_id", F.col("reached").alias("plans_reached"), F.col("span").alias("days"))
+
+
 PAID = (BASIC, PRO, ANNUAL)
 
 

@@ -71,6 +71,14 @@ SQL = {
           FROM v_plan_events)
         SELECT count(DISTINCT customer_id) AS nb_downgrades FROM moves
         WHERE from_plan = 2 AND plan_id = 1 AND {IN_YEAR}""",
+    "upgrade_paths": """
+        WITH bought AS (SELECT customer_id, plan_id, start_date, {'d': start_date, 'e': event_id} AS at FROM v_plan_events)
+        SELECT one.customer_id, 1 + max(CASE WHEN three.at IS NOT NULL THEN 2 WHEN two.at IS NOT NULL THEN 1 ELSE 0 END)
+                   AS plans_reached, min(three.start_date - one.start_date) AS days
+        FROM bought one
+        LEFT JOIN bought two ON two.customer_id = one.customer_id AND two.plan_id = 2 AND two.at > one.at
+        LEFT JOIN bought three ON three.customer_id = two.customer_id AND three.plan_id = 3 AND three.at > two.at
+        WHERE one.plan_id = 1 GROUP BY one.customer_id""",
     "monthly_recurring_revenue": _REVENUE,
     "mrr_growth_rate": f"""
         WITH revenue AS ({_REVENUE}),

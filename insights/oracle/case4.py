@@ -56,6 +56,20 @@ SQL = {
         SELECT txn_type, {', '.join(f"{RD(f'q[{i}] / 100.0')} AS {n}" for i, n in ((1, 'p25'), (2, 'p50'), (3, 'p95')))}
         FROM (SELECT txn_type, quantile_cont(CAST(txn_amount * 100 AS BIGINT), [0.25, 0.5, 0.95]) AS q
               FROM v_txns_monthly GROUP BY txn_type)""",
+    "txn_amount_sketch": f"""
+        WITH placed AS (
+          SELECT txn_type, year(txn_date) AS txn_year, CAST(txn_amount * 100 AS BIGINT) AS cents,
+                 row_number() OVER per AS r, count(*) OVER (PARTITION BY txn_type, date_trunc('month', txn_date)) AS n
+          FROM v_txns_monthly WINDOW per AS (PARTITION BY txn_type, date_trunc('month', txn_date) ORDER BY txn_amount)),
+        stored AS (
+          SELECT *, (r * least(n, 50) // n - (r - 1) * least(n, 50) // n) * greatest(n, 50) AS w FROM placed),
+        running AS (
+          SELECT *, sum(w) OVER (PARTITION BY txn_type, txn_year ORDER BY cents) AS upto,
+                 sum(w) OVER (PARTITION BY txn_type, txn_year) AS total FROM stored WHERE w > 0)
+        SELECT txn_type, CAST(txn_year AS INTEGER) AS txn_year, CAST(any_value(total) // 50 AS BIGINT) AS txn_count,
+               {', '.join(f"{RD(f'min(cents) FILTER (upto >= greatest(ceil({p} * CAST(total AS DOUBLE)), 1)) / 100.0')} AS {c}"
+                          for c, p in (('p25', 0.25), ('p50', 0.5), ('p95', 0.95)))}
+        FROM running GROUP BY txn_type, txn_year""",
     "active_customers_per_month": """
         SELECT txn_month, count(*) AS customer_count
         FROM (SELECT make_date(year(txn_date), month(txn_date), 1) AS txn_month, customer_id FROM v_txns_monthly

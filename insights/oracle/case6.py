@@ -82,6 +82,7 @@ SQL = {
         SELECT product_name, purchases AS total_purchases FROM funnel
         QUALIFY row_number() OVER (ORDER BY purchases DESC, product_name) <= 3""",
     "product_funnel": f"{_PRODUCTS} FROM funnel",
+    "kept_up_funnel": f"{_PRODUCTS} FROM funnel",
     "category_funnel": f"""{_PRODUCTS}
         SELECT product_category, {', '.join(f'CAST(sum({c}) AS BIGINT) AS total_{c}'
                                             for c in ('views', 'cart_adds', 'abandoned', 'purchases'))}

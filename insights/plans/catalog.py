@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 import datetime as dt
 
@@ -21,8 +22,10 @@ from ..operators import impact as I
 from ..operators import loyalty as L
 from ..operators import segments as G
 from ..operators import subscription as S
+from ..operators import upkeep as UK
 from ..sources.views import Views
 from . import report as R
+from .sinks import scratch
 
 REPORT_YEAR, REPORT_MONTH = 1997, 1
 
@@ -138,6 +141,7 @@ _reg("annual_upgrades_in_year", lambda v: S.annual_upgrades_in_year(v.v_plan_eve
 _reg("avg_days_to_annual", lambda v: S.avg_days_to_annual(v.v_plan_events))
 _reg("days_to_annual_buckets", lambda v: S.days_to_annual_buckets(v.v_plan_events))
 _reg("downgrades_in_year", lambda v: S.downgrades_in_year(v.v_plan_events, PLAN_YEAR))
+_reg("upgrade_paths", lambda v: S.upgrade_paths(v.v_plan_events))
 _reg("monthly_recurring_revenue", lambda v: S.monthly_recurring_revenue(v.v_plan_events))
 _reg("mrr_growth_rate", lambda v: S.mrr_growth_rate(v.v_plan_events))
 
@@ -159,6 +163,7 @@ _reg("balance_stats", lambda v: K.balance_stats(v.v_txns_monthly))
 _reg("allocation_prev_month", lambda v: K.allocation_prev_month(v.v_txns_monthly))
 _reg("allocation_avg_30d", lambda v: K.allocation_avg_30d(v.v_txns_monthly))
 _reg("txn_amount_percentiles", lambda v: K.txn_amount_percentiles(v.v_txns_monthly))
+_reg("txn_amount_sketch", lambda v: K.txn_amount_sketch(v.v_txns_monthly))
 _reg("allocation_realtime", lambda v: K.allocation_realtime(v.v_txns_monthly))
 
 
@@ -192,6 +197,13 @@ def _funnel(v):
     return FN.product_funnel(v.v_clicks, v.v_pages)
 
 
+def _kept_up(v, batches=3):
+    """All clicks in three batches that cut through visits, purchases before and after their cart adds."""
+    root = scratch(v.spark, "upkeep")
+    UK.replay(root, v.v_clicks, batches, F.pmod("event_id", F.lit(batches)))
+    return UK.kept_up_funnel(v.spark, root, v.v_pages)
+
+
 def _visits(v):
     return FN.visit_summary(v.v_clicks, v.v_pages, v.v_users, v.v_campaigns)
 
@@ -207,6 +219,7 @@ _reg("category_views_cart", lambda v: FN.category_views_cart(v.v_clicks, v.v_pag
 _reg("top_products_purchased", lambda v: FN.top_products_purchased(v.v_clicks, v.v_pages))
 _reg("product_funnel", _funnel)
 _reg("category_funnel", lambda v: FN.category_funnel(_funnel(v)))
+_reg("kept_up_funnel", _kept_up)
 _reg("funnel_leaders", lambda v: FN.funnel_leaders(_funnel(v)))
 _reg("most_abandoned_product", lambda v: FN.most_abandoned_product(_funnel(v)))
 _reg("best_view_to_purchase", lambda v: FN.best_view_to_purchase(_funnel(v)))

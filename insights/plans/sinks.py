@@ -70,12 +70,18 @@ def save_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = No
     w.saveAsTable(name)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared checkpoint folder, deleted by ``release``."""
+    path = f"{checkpoint_root(spark)}/insights/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     """Compute ``df`` once, as Parquet in the shared checkpoint folder, and return a
     DataFrame over those files (lineage cut: a lost executor re-reads them)."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/insights/{name or 'tmp'}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    path = scratch(spark, name or "tmp")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -70,7 +70,7 @@ def test_keys_read_only_the_tables_of_their_columns(views001):
 
 # keys that write intermediates: a level or a range partitioning that later steps read
 STEPWISE = {"top_product_triple", "monthly_product_report_top_product_triple", "top_product_pairs", "composition_ranks",
-            "hierarchy_paths"}
+            "hierarchy_paths", "kept_up_funnel", "txn_amount_sketch"}
 
 
 def test_building_a_query_starts_no_job(spark, views001):
