@@ -19,9 +19,14 @@ def ascii_lower(c: Column) -> Column:
             .otherwise(F.translate(c, string.ascii_uppercase, string.ascii_lowercase)))
 
 
+def unit(h: Column) -> Column:
+    """A 64-bit hash as a number in [0, 1)."""
+    return F.shiftrightunsigned(h, 11) * F.lit(2.0 ** -53)
+
+
 def uniform(seed: int, *cols: Column) -> Column:
     """A number in [0, 1) that depends on the seed and the columns alone."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) * F.lit(2.0 ** -53)
+    return unit(F.xxhash64(F.lit(seed), *cols))
 
 
 def whole_row(df: DataFrame) -> Column:

@@ -8,11 +8,12 @@ the one level at which they add up, which the sharing rounds reach from below.
 
 A source's repetition rate is target / size.  Each document is emitted
 ``floor(rate)`` times, plus one copy whose draw (a hash of seed, doc_id and text)
-falls below the fraction; reruns draw the same.
+falls below the fraction; reruns draw the same.  Rows repeated in doc_id and text
+draw one by one, by their place in the files too, so that a source of many equal
+rows comes near its target; reruns over the same files and splits draw the same.
 
 Defined cases: null or blank texts have size 0; a source without words has
-target 0; a null source is a source; rows repeated in doc_id and text share a
-draw; an empty table gives an empty mix.
+target 0; a null source is a source; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from insights.llm.columns import uniform, whole_row
+from insights.llm.columns import unit, whole_row
 from insights.plans.sinks import materialize
 
 # Fixed values of the mix.
@@ -62,11 +63,23 @@ def level_of(sources: DataFrame) -> float:
         level = higher
 
 
+def mark(docs: DataFrame, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), docs["doc_id"], docs["text"].cast("string"))
+
+
 def sized_documents(docs: DataFrame, seed: int) -> DataFrame:
     text = docs["text"].cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     return docs.select(docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), size.alias("size"),
-                       uniform(seed, docs["doc_id"], text).alias("draw"))
+                       mark(docs, seed).alias("mark"), F.monotonically_increasing_id().alias("row"))
+
+
+def drawn(rows: DataFrame, sized: DataFrame) -> DataFrame:
+    """``rows`` (mark, row, …) with ``draw``: by the mark alone, or by mark and row where several rows share the mark.
+    What is joined is one row per repeated mark."""
+    repeated = sized.groupBy(F.col("mark").alias("again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("again")
+    draw = F.when(F.col("again").isNull(), unit(F.col("mark"))).otherwise(unit(F.xxhash64("mark", "row")))
+    return rows.join(repeated, F.col("mark") == F.col("again"), "left").withColumn("draw", draw)
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -86,7 +99,7 @@ def copies(rate: Column, draw: Column) -> Column:
 def mix(docs: DataFrame, seed: int = 5) -> DataFrame:
     """doc_id, size, source_size, target, copies, taken for every document."""
     sized = materialize(sized_documents(docs, seed), "sizes")
-    joined = sized.join(targets(sized), F.col("source").eqNullSafe(F.col("of")))
+    joined = drawn(sized, sized).join(targets(sized), F.col("source").eqNullSafe(F.col("of")))
     return (joined.withColumn("copies", copies(F.col("rate"), F.col("draw")))
             .select("doc_id", "size", "source_size", "target", "copies",
                     (F.col("size") * F.col("copies")).alias("taken")))
@@ -95,8 +108,8 @@ def mix(docs: DataFrame, seed: int = 5) -> DataFrame:
 def emit(docs: DataFrame, seed: int = 5) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, all its columns."""
     sized = materialize(sized_documents(docs, seed), "sizes")
-    draw = uniform(seed, docs["doc_id"], docs["text"].cast("string"))
-    here = docs.select(whole_row(docs), docs["source"].alias("source"), draw.alias("draw"))
-    return (here.join(targets(sized), F.col("source").eqNullSafe(F.col("of")))
+    here = docs.select(whole_row(docs), docs["source"].alias("source"), mark(docs, seed).alias("mark"),
+                       F.monotonically_increasing_id().alias("row"))
+    return (drawn(here, sized).join(targets(sized), F.col("source").eqNullSafe(F.col("of")))
             .withColumn("copies", copies(F.col("rate"), F.col("draw"))).filter("copies > 0")
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*"))

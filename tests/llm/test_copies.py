@@ -184,3 +184,20 @@ def test_mixing_targets_and_copies(which, request, none):
     assert emitted.columns == docs.columns
     assert emitted.count() == sum(r["copies"] for r in got)
     assert mixing.mix(none).count() == 0 and mixing.emit(none).count() == 0
+
+
+def test_mixing_of_equal_rows(spark):
+    """A source of one row many times comes near its target too: its rows draw one by one."""
+    rows = [(1, "five words stand in here", "a")] * 400 + [(2, "three words here", "b")] * 400 + [(3, "own words", "c"), (None, None, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    for size in (5, 3):
+        own = [r for r in got if r["size"] == size]
+        assert sum(r["taken"] for r in own) == pytest.approx(own[0]["target"], rel=0.1)
+        assert all(r["taken"] <= 2 * size for r in own)
+    emitted = mixing.emit(docs).groupBy("doc_id").count().collect()
+    for r in emitted:
+        if r["doc_id"] in (1, 2):
+            assert r["count"] * (5, 3)[r["doc_id"] - 1] == pytest.approx(
+                next(x["target"] for x in got if x["doc_id"] == r["doc_id"]), rel=0.1)
