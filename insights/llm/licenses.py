@@ -1,13 +1,13 @@
 """License scans: exact set-similarity join of text blocks with license notices
 (DataFrame operations only).
 
-Blocks are the lines of a text, as sets of words (A-Z lower-cased), and, for notices
-wrapped over several lines, the windows of as many consecutive words as a template has
-that reach over a line end; a window is a block for its own template alone.  A block meets
-a template when it holds at least ``threshold`` of the template's words.  Words
+Blocks are windows of as many consecutive words of a text as a template has, line ends
+or not, for that template alone, as sets of words (A-Z lower-cased).  A block meets its
+template when it holds at least ``threshold`` of the template's words, all words that its
+label can't do without (``needed``) and none that belongs to another (``barred``). Words
 outside all templates can't add to an overlap, so blocks are projected to the
 template vocabulary, a fixed set, and only texts that hold enough words of a template
-as a whole are cut into blocks; then
+and its needed ones as a whole are cut into blocks; then
 
 * the words of that vocabulary are put in the order of the number of documents that
   hold them, over all documents, rarest first;
@@ -18,8 +18,8 @@ as a whole are cut into blocks; then
 * each (block, template) is verified once, at its first common word.
 
 A window that begins with a word outside the template holds no more of it than the one
-that begins at the next word inside, so only windows that begin inside are made, and
-those that hold too few words of the template are dropped at once.
+that begins at the next word inside, so windows that begin inside are the blocks, and
+those that can't meet the template by their number of words are dropped at once.
 
 The filters only drop pairs that can't meet the threshold: the join is exact.
 
@@ -34,7 +34,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,21 +46,41 @@ from insights.plans.sinks import materialize
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Sentences of common license notices, with their labels.
+
+
+class Notice(NamedTuple):
+    label: str
+    text: str
+    needed: tuple[str, ...] = ()
+    barred: tuple[str, ...] = ()
+
+
+# Sentences of common license notices: label, words, words it needs, words that rule it out.
 TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"
-            " and associated documentation files"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the"
-            " gnu general public license as published by the free software foundation"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"
-            " provided that the following conditions are met"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("reserved", "all rights reserved"),
+    Notice("mit", "released under the mit license", ("mit", "license")),
+    Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"
+                  " and associated documentation files", ("permission", "granted", "software")),
+    Notice("mit", "the above copyright notice and this permission notice shall be included in all copies or"
+                  " substantial portions of the software", ("permission", "notice", "copies", "substantial")),
+    Notice("apache", "licensed under the apache license version 2 0", ("apache", "license")),
+    Notice("gpl", "this work is licensed under the gnu general public license version 3", ("general", "public", "license")),
+    Notice("gpl", "this program is free software you can redistribute it and or modify it under the terms of the"
+                  " gnu general public license as published by the free software foundation",
+           ("general", "public", "license")),
+    Notice("cc-by-nc", "licensed under cc by nc 4 0", ("cc", "by", "nc")),
+    Notice("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+           ("creative", "commons", "attribution", "noncommercial")),
+    Notice("cc-by", "licensed under cc by 4 0", ("cc", "by"), ("nc", "sa", "nd")),
+    Notice("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
+           ("creative", "commons", "attribution"), ("noncommercial", "sharealike", "noderivatives")),
+    Notice("bsd", "redistribution and use in source and binary forms with or without modification are permitted"
+                  " provided that the following conditions are met", ("redistribution", "permitted")),
+    Notice("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+                  " promote products derived from this software without specific prior written permission",
+           ("neither", "contributors", "endorse", "permission")),
+    Notice("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0",
+           ("mozilla", "public", "license")),
+    Notice("reserved", "all rights reserved", ("all", "rights", "reserved")),
 )
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -82,30 +103,39 @@ def _words(c: Column) -> Column:
     return F.size(F.array_remove(F.split(c, GAP), "")).cast("long")
 
 
-def _windows(template: str, number: int, vocabulary: Sequence[str], threshold: float) -> Column:
-    """The windows of a template over ``words`` (on the lines ``line``) that reach over a line end and hold enough of it."""
-    inside, long = _literals(sorted(set(template.split()))), len(template.split())
-    words, line = F.col("words"), F.col("line")
+def _holds(words: Column, notice: Notice, threshold: float) -> Column:
+    """Whether ``words`` hold enough of the notice, and all that it needs."""
+    inside = _literals(sorted(set(notice.text.split())))
+    return reduce(and_, [F.array_contains(words, w) for w in notice.needed],
+                  F.size(F.array_intersect(words, inside)) >= _need(notice.text, threshold))
+
 
-    def last(p: Column) -> Column:
-        return F.get(line, F.least(p + (long - 1), F.size(words)) - 1)
+def _windows(notice: Notice, number: int, vocabulary: Sequence[str], threshold: float) -> Column:
+    """The windows of a template over ``words`` that hold enough of it, what it needs and nothing that rules it out."""
+    inside, long, words = _literals(sorted(set(notice.text.split()))), len(notice.text.split()), F.col("words")
 
     def held(p: Column) -> Column:
         return F.slice(words, p, long)
 
-    starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda p: (
-        F.array_contains(inside, F.get(words, p - 1)) & (last(p) > F.get(line, p - 1))
-        & (F.size(F.array_intersect(held(p), inside)) >= _need(template, threshold))))
+    def fits(p: Column) -> Column:
+        return reduce(and_, [~F.array_contains(held(p), w) for w in notice.barred],
+                      F.array_contains(inside, F.get(words, p - 1)) & _holds(held(p), notice, threshold))
+
+    starts = F.filter(F.sequence(F.lit(1), F.size(words)), fits)
     return F.transform(starts, lambda p: F.struct(
-        F.get(line, p - 1).alias("first"), last(p).alias("last"), F.lit(number).alias("of"),
+        (p - 1).alias("first"), F.least(p + (long - 2), F.size(words) - 1).alias("last"), F.lit(number).alias("of"),
         F.array_intersect(held(p), _literals(vocabulary)).alias("words")))
 
 
+def _vocabulary(templates: Sequence[Notice]) -> list[str]:
+    return sorted({w for t in templates for w in t.text.split()})
+
+
 def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: float) -> DataFrame:
     """One row per document: base places, its template words (``known``), and its blocks (first and
-    last line, number of the template for a window, template words) where the whole text holds enough
-    of a template; elsewhere no block can."""
-    vocabulary = sorted({w for _, t in templates for w in t.split()})
+    last word, number of the template, template words) where the whole text holds enough of a template;
+    elsewhere no block can."""
+    vocabulary = _vocabulary(templates)
     low = docs.select(docs["doc_id"].alias("doc_id"), ascii_lower(whole_text(docs)).alias("low"))
     low = low.withColumn("words", F.array_remove(F.split("low", GAP), ""))
     any_place, low_text = _places(list(phrases)), F.col("low")
@@ -120,30 +150,22 @@ def scanned(docs: DataFrame, phrases: Mapping[str, str], templates, threshold: f
     before_last = F.regexp_extract(low_text, f"(?s)^(.*){any_place}", 1)
     labels = F.array_compact(F.array(*[F.when(low_text.rlike(_places([p])), F.lit(label))
                                        for p, label in phrases.items()]))
-    holds = [F.size(F.array_intersect("known", _literals(sorted(set(t.split()))))) >= _need(t, threshold)
-             for _, t in templates]
-    enough = reduce(or_, holds)
-    none = F.array().cast("array<string>")
-    lines = F.filter(F.transform(F.split(low_text, "\n"), lambda x, i: F.struct(
-        i.alias("first"), i.alias("last"), F.lit(None).cast("int").alias("of"),
-        F.array_intersect(F.split(x, GAP), _literals(vocabulary)).alias("words"))), lambda b: F.size(b["words"]) > 0)
-    nothing = F.array().cast("array<struct<first:int,last:int,of:int,words:array<string>>>")
-    wrapped = [F.when(held & low_text.contains("\n") & (F.size("words") > 0), _windows(t, k, vocabulary, threshold))
-               .otherwise(nothing) for k, (held, (_, t)) in enumerate(zip(holds, templates, strict=True))]
-    line = F.flatten(F.transform(F.split(low_text, "\n"), lambda x, i: F.array_repeat(i, _words(x).cast("int"))))
-    return counted.withColumn("line", F.when(enough, line)).select(
+    none, nothing = F.array().cast("array<string>"), F.array().cast("array<struct<first:int,last:int,of:int,words:array<string>>>")
+    blocks = [F.when(_holds(F.col("known"), t, threshold), _windows(t, k, vocabulary, threshold)).otherwise(nothing)
+              for k, t in enumerate(templates)]
+    return counted.select(
         "row", "doc_id", "n_words", "n_base",
         F.when(found, _words(before_first)).alias("first_word"),
         F.when(found, _words(before_last)).alias("last_word"),
         F.when(found, F.array_sort(F.array_distinct(labels))).otherwise(none).alias("base"), "known",
-        F.when(enough, F.concat(lines, *wrapped)).otherwise(nothing).alias("blocks"))
+        F.concat(*blocks).alias("blocks"))
 
 
 def _template_rows(spark: SparkSession, templates, order: Sequence[str], threshold: float) -> DataFrame:
     """A row per word of each template's prefix; as many as the fixed templates have words."""
     at = {w: i for i, w in enumerate(order)}
     rows = []
-    for k, (label, text) in enumerate(templates):
+    for k, (label, text, _, _) in enumerate(templates):
         words = sorted(set(text.split()), key=at.__getitem__)
         need = _need(text, threshold)
         for i, w in enumerate(words[: len(words) - need + 1]):
@@ -158,7 +180,7 @@ def join_templates(blocks: DataFrame, order: Sequence[str], templates=TEMPLATES,
 
     ``blocks``: row, block (what tells it from the text's others), words (distinct, of the vocabulary);
     ``order``: the vocabulary, rarest word first."""
-    least = min(_need(t, threshold) for _, t in templates)
+    least = min(_need(t.text, threshold) for t in templates)
     ordered = blocks.filter(F.size("words") >= least).withColumn(
         "words", F.array_intersect(_literals(order), "words"))
     prefix = ordered.select("row", "block", "words", F.posexplode(
@@ -174,11 +196,10 @@ def join_templates(blocks: DataFrame, order: Sequence[str], templates=TEMPLATES,
 
 
 def _notices() -> Column:
-    """How many wrapped notices ``windows`` are: without those over one of ``lines``; for one template,
-    those that begin where one counted before still reaches are one notice."""
-    own = F.filter("windows", lambda w: ~F.exists("lines", lambda x: (x >= w["first"]) & (x <= w["last"])))
+    """How many notices ``windows`` are: of one template, those that begin where one counted before still
+    reaches are one notice."""
     start = F.struct(F.lit(-1).alias("template"), F.lit(-1).alias("end"), F.lit(0).alias("n"))
-    return F.aggregate(F.array_sort(own), start, lambda a, w: F.when(
+    return F.aggregate(F.array_sort("windows"), start, lambda a, w: F.when(
         (a["template"] == w["template"]) & (w["first"] <= a["end"]), a).otherwise(F.struct(
             w["template"].alias("template"), w["last"].alias("end"), (a["n"] + 1).alias("n"))), lambda a: a["n"])
 
@@ -186,19 +207,18 @@ def _notices() -> Column:
 def scan(docs: DataFrame, templates=TEMPLATES, phrases: Mapping[str, str] = PHRASES,
          threshold: float = 0.8) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks
-    (lines that meet a template, and wrapped notices on lines that don't)."""
+    (notices found: windows of a template that overlap are one)."""
     texts = materialize(scanned(docs, phrases, templates, threshold), "blocks")
     counts = texts.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     seen = {r["word"]: r["n"] for r in counts.collect()}  # as many rows as the fixed vocabulary has words
-    order = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (seen.get(w, 0), w))
+    order = sorted(_vocabulary(templates), key=lambda w: (seen.get(w, 0), w))
     blocks = texts.select("row", F.explode("blocks").alias("of")).select(
         "row", F.struct("of.first", "of.last", F.col("of.of").alias("of")).alias("block"), "of.words")
     met = (join_templates(blocks, order, templates, threshold)
-           .filter(F.col("block.of").isNull() | (F.col("block.of") == F.col("template"))).groupBy("row")
+           .filter(F.col("block.of") == F.col("template")).groupBy("row")
            .agg(F.collect_set("label").alias("met"), F.max("containment").alias("most"),
-                F.collect_set(F.when(F.col("block.of").isNull(), F.col("block.first"))).alias("lines"),
-                F.collect_set(F.when(F.col("block.of").isNotNull(), F.struct("template", "block.first", "block.last"))).alias("windows"))
-           .select("row", "met", "most", (F.size("lines") + _notices()).alias("n_blocks")))
+                F.collect_set(F.struct("template", "block.first", "block.last")).alias("windows"))
+           .select("row", "met", "most", _notices().alias("n_blocks")))
     none = F.array().cast("array<string>")
     return texts.drop("blocks", "known").join(met, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

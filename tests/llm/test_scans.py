@@ -49,6 +49,42 @@ def test_pii_added_kinds_need_their_checksum_and_context():
     assert pii.mask("write a@b.example now") == "write <email> now"
 
 
+def plain_labels(words):
+    """Every window of a notice's number of words, looked at one by one."""
+    found = set()
+    for label, text, needed, barred in licenses.TEMPLATES:
+        own, long = set(text.split()), len(text.split())
+        for i in range(len(words)):
+            here = set(words[i : i + long])
+            if words[i] in own and len(here & own) >= 0.8 * len(own) - 1e-9 and here >= set(needed) and not here & set(barred):
+                found.add(label)
+    return found
+
+
+LABELS = {
+    "Licensed under CC BY 4.0": "cc-by", "licensed under CC BY-NC 4.0": "cc-by-nc", "All rights reserved.": "reserved",
+    "released a statement about the license fee and spoke under oath of the mit and the committee": "",
+    "reserved seats: all guests have equal rights": "", "All other rights are reserved": "",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "",
+    "Unless permitted, redistribution is met with the following conditions": "",
+    "The above copyright notice and this permission notice shall be\n * included in all copies or substantial portions": "mit",
+    "Neither the name of the copyright holder nor the names of its contributors\nmay be used to endorse or promote products"
+    " derived\nfrom this software without specific prior written permission.": "bsd",
+}
+
+
+def test_licenses_need_the_words_that_tell_them_apart(spark):
+    pad = " other words of a long text on one line" * 60
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(LABELS)] + [(k + 100, pad + " " + t + pad) for k, t in enumerate(LABELS)],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["n_blocks"]) for r in licenses.scan(docs).collect()}
+    for k, (text, label) in enumerate(LABELS.items()):
+        assert got[k][0] == label and got[k + 100][0] == label, text
+        assert got[k][1] == got[k + 100][1] == (1 if label else 0), text
+
+
 def test_licenses_base_places_and_blocks(odd, docs001):
     for docs in (odd, docs001):
         for r, t in zip(sorted(licenses.scan(docs).collect(), key=str), sorted(docs.collect(), key=str), strict=True):
@@ -62,9 +98,7 @@ def test_licenses_base_places_and_blocks(odd, docs001):
             assert (r["n_words"], r["n_base"]) == (len(words), len(at))
             assert (r["first_word"], r["last_word"]) == ((at[0], at[-1]) if at else (None, None))
             labels = set(filter(None, r["base_labels"].split(",")))
-            for line in (t["text"] or "").translate(LOWER).split("\n"):
-                own = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line))
-                labels |= {k for k, x in licenses.TEMPLATES if len(own & set(x.split())) >= 0.8 * len(set(x.split())) - 1e-9}
+            labels |= plain_labels(words)
             assert r["labels"] == ",".join(sorted(labels))
 
 
