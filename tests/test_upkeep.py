@@ -66,3 +66,15 @@ def test_nothing(spark, pages, tmp_path):
     assert U.kept_up_funnel(spark, str(tmp_path / "none"), pages).collect() == []
     U.apply(str(tmp_path), 0, frame(spark, []))
     assert U.kept_up_funnel(spark, str(tmp_path), pages).collect() == []
+
+
+def test_as_the_sink_of_a_stream(spark, pages, tmp_path):
+    rows, source, root = events(300), str(tmp_path / "in"), str(tmp_path / "kept")
+    for k in range(3):
+        frame(spark, rows[k * 100:(k + 1) * 100]).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("visit_id string, page_id int, event_type int").option("maxFilesPerTrigger", 1).parquet(source)
+    query = (stream.writeStream.foreachBatch(lambda df, n: U.apply(root, n, df))
+             .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    query.awaitTermination(150)
+    assert U.read(spark, root, "funnel").select("batch").distinct().count() == 3
+    assert table(U.kept_up_funnel(spark, root, pages)) == table(FN.product_funnel(frame(spark, rows), pages))
