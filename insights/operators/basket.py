@@ -172,10 +172,18 @@ def category_share(sales: DataFrame, product: DataFrame) -> DataFrame:
 
 
 def product_penetration(sales: DataFrame, product: DataFrame) -> DataFrame:
-    """% of all transactions that contain each product."""
-    per = sales.groupBy("prod_id").agg(F.countDistinct("txn_id").alias("n"))
-    total = F.broadcast(sales.agg(F.countDistinct("txn_id").alias("total")))  # one row
-    return (per.crossJoin(total).join(product, F.col("prod_id") == F.col("product_id"))
+    """% of all transactions that contain each product.
+
+    Each sale counts for its product and once for all products (no product id), so the transactions are
+    counted in the same pass; Spark runs the shuffle of the counts once for both sides.
+    """
+    of = F.explode(F.array(F.col("prod_id"), F.lit(None)))
+    pairs = sales.filter(F.col("txn_id").isNotNull()).select("txn_id", of.alias("prod_id")).distinct()
+    counts = pairs.groupBy("prod_id").agg(F.count(F.lit(1)).alias("n"))
+    total = F.broadcast(counts.agg(F.max(F.when(F.col("prod_id").isNull(), F.col("n"))).alias("total")))  # one row
+    # compared null-safe: a plain equality would filter one side's sales before the counts are shared
+    named = product.filter(F.col("product_id").isNotNull()).select("product_id", "product_name")
+    return (counts.crossJoin(total).join(named, F.col("prod_id").eqNullSafe(F.col("product_id")))
             .select("product_id", "product_name", pct(F.col("n"), F.col("total")).alias("penetration_percentage")))
 
 

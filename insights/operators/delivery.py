@@ -7,14 +7,13 @@ pizza_id, exclusions csv, extras csv, order_time), ``recipes`` (pizza_id,
 pizza_name, toppings csv), ``toppings`` (topping_id, topping_name).
 
 Dirty values ('null', '', NULL) are cleaned with ``functions.cleaning``.
-Topping names are looked up from a one-row map of the (fixed, tiny) topping
-dimension broadcast to every task, so item rows are labelled in place
-without a shuffle.
+Topping names are joined to the distinct ways a pizza was changed, not to the
+items: a text is worded once, however many items carry it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -36,21 +35,6 @@ def _delivered_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.join(delivered(orders).select("order_id"), "order_id", "left_semi")
 
 
-def topping_map(toppings: DataFrame) -> DataFrame:
-    """One row holding ``map<topping_id, topping_name>``; size bounded by the dimension."""
-    return F.broadcast(toppings.agg(
-        F.map_from_entries(F.collect_list(F.struct("topping_id", "topping_name"))).alias("tmap")))
-
-
-def _names(ids: Column) -> Column:
-    """Topping ids → their names sorted alphabetically.
-
-    Unknown ids give NULL names, which ``array_sort`` puts last and
-    ``array_join`` skips.
-    """
-    return F.array_sort(F.transform(ids, lambda x: F.col("tmap")[x]))
-
-
 # ---- pizza metrics -------------------------------------------------------------------------
 def items_ordered(items: DataFrame) -> DataFrame:
     return items.agg(F.count("pizza_id").alias("nb_pizza"))
@@ -120,9 +104,9 @@ def volume_by_weekday(items: DataFrame) -> DataFrame:
 # ---- ingredients ----------------------------------------------------------------------------
 def standard_ingredients(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """Each recipe's topping list as alphabetically ordered names."""
-    return (recipes.crossJoin(topping_map(toppings))
-            .select("pizza_id", "pizza_name", "toppings",
-                    F.array_join(_names(csv_int_array("toppings")), ", ").alias("standard_ingredients")))
+    key = ["pizza_id", "pizza_name", "toppings"]
+    listed = recipes.select(*key, F.explode_outer(csv_int_array("toppings")).alias("topping_id"))
+    return _joined_names(listed, F.col("topping_name"), toppings, "standard_ingredients", key)
 
 
 def _top_topping(items: DataFrame, toppings: DataFrame, column: str, k: int = 1) -> DataFrame:
@@ -140,22 +124,54 @@ def top_exclusion(items: DataFrame, toppings: DataFrame, k: int = 1) -> DataFram
     return _top_topping(items, toppings, "exclusions", k)
 
 
+def _form(column: str) -> Column:
+    """A csv cell as a key: all its ways of being empty are one."""
+    return F.when(is_dirty_null(column), F.lit("")).otherwise(F.col(column))
+
+
+FORM = ["pizza_id", "_excl", "_extra"]
+
+
+def _labelled(items: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """order_id, item_no, text of every item; ``texts`` words each distinct (pizza, exclusions, extras) once.
+
+    The forms are as many as there are ways to change a pizza, however many items were ordered; the join
+    that brings their texts back is left to Spark's size check and skew splitting.
+    """
+    keyed = items.select("order_id", "item_no", "pizza_id", _form("exclusions").alias("_excl"),
+                         _form("extras").alias("_extra"))
+    return keyed.join(texts(keyed.select(*FORM).distinct()), FORM).select("order_id", "item_no", "text")
+
+
+def _joined_names(listed: DataFrame, shown: Column, toppings: DataFrame, out: str, key: Sequence[str] = FORM) -> DataFrame:
+    """``key`` and ``out``: the listed ``topping_id`` (may be NULL) as names in their order, unknown ids skipped."""
+    named = listed.join(toppings.select("topping_id", "topping_name"), "topping_id", "left")
+    entry = F.when(F.col("topping_name").isNotNull(), F.struct("topping_name", shown.alias("shown")))
+    return named.groupBy(*key).agg(F.array_sort(F.collect_list(entry)).alias("_names")) \
+        .select(*key, F.array_join(F.col("_names.shown"), ", ").alias(out))
+
+
 def order_item_label(items: DataFrame, recipes: DataFrame, toppings: DataFrame,
                      pizza_name: str | None = "Meatlovers") -> DataFrame:
     """'Name - Exclude a, b - Extra c' for every item (of one pizza type if given)."""
     names = recipes.select("pizza_id", "pizza_name")
     if pizza_name is not None:
         names = names.filter(F.col("pizza_name") == pizza_name)
-    part = lambda label, arr: F.when(F.size(arr) > 0, F.concat(F.lit(label), F.array_join(arr, ", "))) \
-        .otherwise(F.lit(""))
-    arrs = _parsed(items.join(names, "pizza_id"), excl_ids="exclusions", extra_ids="extras") \
-        .select("order_id", "item_no", "pizza_name", "excl_ids", "extra_ids")
-    named = arrs.crossJoin(topping_map(toppings)).select(
-        "order_id", "item_no", "pizza_name",
-        _names(F.col("excl_ids")).alias("excl"), _names(F.col("extra_ids")).alias("extra"))
-    return named.select("order_id", "item_no",
-                        F.concat(F.col("pizza_name"), part(" - Exclude ", F.col("excl")),
-                                 part(" - Extra ", F.col("extra"))).alias("order_item"))
+
+    def texts(forms: DataFrame) -> DataFrame:
+        known = forms.join(names, "pizza_id")
+        lists = {}
+        for c in ("_excl", "_extra"):
+            ids = known.select(*FORM, F.explode(csv_int_array(c)).alias("topping_id"))
+            lists[c] = _joined_names(ids, F.col("topping_name"), toppings, c + "_names")
+        full = known.join(lists["_excl"], FORM, "left").join(lists["_extra"], FORM, "left")
+        part = lambda label, c: F.coalesce(F.concat(F.lit(label), F.col(c)), F.lit(""))
+        return full.select(*FORM, F.concat(F.col("pizza_name"), part(" - Exclude ", "_excl_names"),
+                                           part(" - Extra ", "_extra_names")).alias("text"))
+
+    # the type is looked up before the items move: only its own are labelled
+    wanted = items.join(names.select("pizza_id"), "pizza_id", "left_semi")
+    return _labelled(wanted, texts).withColumnRenamed("text", "order_item")
 
 
 def _parsed(df: DataFrame, **lists: str) -> DataFrame:
@@ -170,18 +186,19 @@ def _parsed(df: DataFrame, **lists: str) -> DataFrame:
 def ingredient_list_2x(items: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """'Name: a, 2xb, c' per item: (recipe − exclusions) ∪ extras, sorted by name;
     '2x' marks an extra that is also still in the recipe."""
-    arrs = _parsed(items.join(_parsed(recipes, base_ids="toppings"), "pizza_id"),
-                   excl_ids="exclusions", extra_ids="extras")
-    kept = arrs.select("order_id", "item_no", "pizza_name", "extra_ids",
-                       F.array_except("base_ids", "excl_ids").alias("kept_ids"))
-    named = (kept.crossJoin(topping_map(toppings))
-             .select("order_id", "item_no", "pizza_name",
-                     _names(F.array_union("kept_ids", "extra_ids")).alias("names"),
-                     _names(F.array_intersect("kept_ids", "extra_ids")).alias("doubled")))
-    marked = F.when(F.size("doubled") == 0, F.col("names")).otherwise(F.transform(
-        "names", lambda n: F.when(F.array_contains(F.col("doubled"), n), F.concat(F.lit("2x"), n)).otherwise(n)))
-    return named.select("order_id", "item_no",
-                        F.concat(F.col("pizza_name"), F.lit(": "), F.array_join(marked, ", ")).alias("ingredient_list"))
+    def texts(forms: DataFrame) -> DataFrame:
+        known = recipes.select("pizza_id", "pizza_name", csv_int_array("toppings").alias("base_ids"))
+        lists = _parsed(forms.join(known, "pizza_id"), excl_ids="_excl", extra_ids="_extra") \
+            .withColumn("kept_ids", F.array_except("base_ids", "excl_ids"))
+        ids = lists.select(*FORM, F.array_intersect("kept_ids", "extra_ids").alias("twice"),
+                           F.explode_outer(F.array_union("kept_ids", "extra_ids")).alias("topping_id"))
+        shown = F.when(F.array_contains("twice", F.col("topping_id")), F.concat(F.lit("2x"), F.col("topping_name"))) \
+            .otherwise(F.col("topping_name"))
+        worded = _joined_names(ids, shown, toppings, "_list")
+        return worded.join(recipes.select("pizza_id", "pizza_name"), "pizza_id") \
+            .select(*FORM, F.concat(F.col("pizza_name"), F.lit(": "), F.col("_list")).alias("text"))
+
+    return _labelled(items, texts).withColumnRenamed("text", "ingredient_list")
 
 
 def ingredient_usage(items: DataFrame, orders: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:

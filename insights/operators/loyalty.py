@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money
@@ -44,11 +44,20 @@ def visit_days(sales: DataFrame) -> DataFrame:
     return sales.groupBy("customer_id").agg(F.countDistinct("order_date").alias("number_of_dates"))
 
 
+def _items_of_day(sales: DataFrame, first: Column) -> DataFrame:
+    """customer_id, prod_id of each sale on the customer's first day in the order ``first``.
+
+    The sales of a day are counted per item before the days are ranked and repeated behind it, so a busy
+    day is one row per item it sold in the window and not one per sale.
+    """
+    counted = sales.groupBy("customer_id", "order_date", "prod_id").agg(F.count(F.lit(1)).alias("_n"))
+    best = top_k_per_group(counted, "customer_id", [first], 1, ties=True)
+    return best.select("customer_id", "prod_id", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("col")
+
+
 def first_purchase_items(sales: DataFrame, product: DataFrame) -> DataFrame:
     """Every item bought on the customer's first order date (one row per sale)."""
-    first = top_k_per_group(sales.select("customer_id", "order_date", "prod_id"), "customer_id",
-                            [F.col("order_date")], 1, ties=True)
-    return (first.join(_menu(product), F.col("prod_id") == F.col("product_id"))
+    return (_items_of_day(sales, F.col("order_date")).join(_menu(product), F.col("prod_id") == F.col("product_id"))
             .select("customer_id", "product_name", "product_id"))
 
 
@@ -83,8 +92,7 @@ def first_item_after_join(sales: DataFrame, product: DataFrame, members: DataFra
 def last_item_before_join(sales: DataFrame, product: DataFrame, members: DataFrame) -> DataFrame:
     """Items of the last order date strictly before joining (ties kept)."""
     ms = _member_sales(sales, members).filter(F.col("order_date") < F.col("join_date"))
-    last = top_k_per_group(ms, "customer_id", [F.col("order_date").desc()], 1, ties=True)
-    return (last.join(_menu(product), F.col("prod_id") == F.col("product_id"))
+    return (_items_of_day(ms, F.col("order_date").desc()).join(_menu(product), F.col("prod_id") == F.col("product_id"))
             .select("customer_id", "product_name", "product_id"))
 
 

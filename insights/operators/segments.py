@@ -86,15 +86,39 @@ def qualified_interests(filtered: DataFrame, min_months: int = MIN_MONTHS) -> Da
     return interest_months(filtered).filter(F.col("month_count") >= min_months)
 
 
-def keep_qualified(filtered: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
-    return filtered.join(qualified_interests(filtered, min_months).select("interest_id"), "interest_id", "left_semi")
+def per_qualified(filtered: DataFrame, *aggregates: Column, min_months: int = MIN_MONTHS) -> DataFrame:
+    """``aggregates`` per interest of ``min_months`` distinct months or more.
+
+    The months are counted in the same aggregate, so the rows are read once and pre-aggregated per
+    (interest, month) before they move: no semi-join of the metrics with themselves.
+    """
+    per = filtered.groupBy("interest_id").agg(F.countDistinct("month_year").alias("month_count"), *aggregates)
+    return per.filter(F.col("month_count") >= min_months)
+
+
+def keep_qualified(monthly: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
+    """Rows of the interests of ``min_months`` distinct months or more.
+
+    ``monthly`` holds a bounded number of rows per interest and month (one, in the metrics), so the
+    window over an interest is bounded by the calendar.
+    """
+    months = F.size(F.collect_set("month_year").over(Window.partitionBy("interest_id")))
+    return monthly.withColumn("_months", months).filter(F.col("_months") >= min_months).drop("_months")
 
 
 def interests_in_all_months(filtered: DataFrame, interest_map: DataFrame) -> DataFrame:
-    """Relational division: interests whose month count equals the number of months."""
-    total = F.broadcast(filtered.agg(F.countDistinct("month_year").alias("total")))
-    full = interest_months(filtered).crossJoin(total).filter(F.col("month_count") == F.col("total"))
-    return _named(full, interest_map, "interest_name").select("interest_id", "interest_name", "month_count")
+    """Relational division: interests whose month count equals the number of months.
+
+    Both counts come from the months of each interest (a set bounded by the calendar), whose shuffle
+    Spark runs once for the two.
+    """
+    sets = filtered.groupBy("interest_id").agg(F.collect_set("month_year").alias("months"))
+    total = F.broadcast(sets.select(F.explode("months").alias("m")).agg(F.countDistinct("m").alias("total")))  # one row
+    counted = sets.select("interest_id", F.size("months").cast("bigint").alias("month_count"))
+    full = counted.crossJoin(total).filter(F.col("month_count") == F.col("total"))
+    # compared null-safe: a plain equality would filter one side's rows before the sets are shared
+    names = interest_map.filter(F.col("id").isNotNull()).select("id", "interest_name")
+    return full.join(names, _id_key().eqNullSafe(F.col("id"))).select("interest_id", "interest_name", "month_count")
 
 
 def cumulative_pct_by_months(filtered: DataFrame) -> DataFrame:
@@ -110,13 +134,16 @@ def cumulative_pct_by_months(filtered: DataFrame) -> DataFrame:
 
 
 def rows_removed_below_threshold(filtered: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
-    low = interest_months(filtered).filter(F.col("month_count") < min_months).select("interest_id")
-    return filtered.join(low, "interest_id", "left_semi").agg(F.count(F.lit(1)).alias("removed_rows"))
+    per = filtered.groupBy("interest_id").agg(F.countDistinct("month_year").alias("month_count"),
+                                              F.count(F.lit(1)).alias("n"))
+    return per.filter(F.col("month_count") < min_months) \
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("removed_rows"))
 
 
 def unique_interests_per_month(filtered: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
-    return (keep_qualified(filtered, min_months).groupBy("month_year")
-            .agg(F.countDistinct("interest_id").alias("unique_interest_count")))
+    pairs = filtered.select("interest_id", "month_year").distinct()
+    return keep_qualified(pairs, min_months).groupBy("month_year") \
+        .agg(F.count("interest_id").alias("unique_interest_count"))
 
 
 # ---- segment analysis -----------------------------------------------------------------------------
@@ -127,10 +154,11 @@ def top_bottom_composition(filtered: DataFrame, interest_map: DataFrame, k: int
     Each interest contributes its best month only (earliest month on ties);
     the global ranks keep ties without an un-partitioned window.
     """
-    q = keep_qualified(filtered, min_months)
-    best = top_k_per_group(q.select("interest_id", "month_year", "composition"), "interest_id",
-                           [F.col("composition").desc(), F.col("month_year")], 1, ties=False)
-    named = _named(best, interest_map, "interest_name").select("interest_name", "month_year", "composition")
+    best = per_qualified(
+        filtered, F.max(F.struct("composition", (-F.unix_date("month_year")).alias("day"))).alias("best"),
+        min_months=min_months)
+    named = _named(best, interest_map, "interest_name").select(
+        "interest_name", F.date_from_unix_date(-F.col("best.day")).alias("month_year"), "best.composition")
     top = top_k_with_ties(named, "composition", k, descending=True).withColumn("category", F.lit(f"Top {k}"))
     bottom = top_k_with_ties(named, "composition", k, descending=False).withColumn("category", F.lit(f"Bottom {k}"))
     return top.unionByName(bottom).select("category", "interest_name", "month_year", "composition")
@@ -144,8 +172,8 @@ def composition_ranks(filtered: DataFrame) -> DataFrame:
 
 def lowest_avg_ranking(filtered: DataFrame, interest_map: DataFrame, k: int = 5,
                        min_months: int = MIN_MONTHS) -> DataFrame:
-    per = keep_qualified(filtered, min_months).groupBy("interest_id") \
-        .agg(ratio(F.sum("ranking"), F.count("ranking")).alias("avg_ranking"))
+    per = per_qualified(filtered, ratio(F.sum("ranking"), F.count("ranking")).alias("avg_ranking"),
+                        min_months=min_months)
     named = _named(per, interest_map, "interest_name")
     return top_k(named, [F.col("avg_ranking").asc(), F.col("interest_id")], k) \
         .select("interest_id", "interest_name", "avg_ranking")
@@ -166,8 +194,8 @@ def exact_stddev(c: str) -> Column:
 def most_volatile_interests(filtered: DataFrame, interest_map: DataFrame, k: int = 5,
                             min_months: int = MIN_MONTHS) -> DataFrame:
     """The ``k`` interests whose percentile_ranking varies most (sample stddev)."""
-    per = keep_qualified(filtered, min_months).groupBy("interest_id") \
-        .agg((F.round(exact_stddev("percentile_ranking") * 100) / 100.0).alias("stddev_ranking"))
+    per = per_qualified(filtered, (F.round(exact_stddev("percentile_ranking") * 100) / 100.0).alias("stddev_ranking"),
+                        min_months=min_months)
     named = _named(per, interest_map, "interest_name")
     return top_k(named, [F.col("stddev_ranking").desc(), F.col("interest_name")], k) \
         .select("interest_name", "stddev_ranking")
@@ -177,11 +205,10 @@ def volatile_extremes(filtered: DataFrame, interest_map: DataFrame, k: int = 5,
                       min_months: int = MIN_MONTHS) -> DataFrame:
     """For the ``k`` most volatile interests: min percentile with its (earliest)
     month and max percentile with its (latest) month — one aggregate."""
-    q = keep_qualified(filtered, min_months)
-    per = q.groupBy("interest_id").agg(
-        (F.round(exact_stddev("percentile_ranking") * 100) / 100.0).alias("stddev_percentile"),
+    per = per_qualified(
+        filtered, (F.round(exact_stddev("percentile_ranking") * 100) / 100.0).alias("stddev_percentile"),
         F.min(F.struct("percentile_ranking", "month_year")).alias("lo"),
-        F.max(F.struct("percentile_ranking", "month_year")).alias("hi"))
+        F.max(F.struct("percentile_ranking", "month_year")).alias("hi"), min_months=min_months)
     named = _named(per, interest_map, "interest_name")
     top = top_k(named, [F.col("stddev_percentile").desc(), F.col("interest_name")], k)
     return top.select("interest_name", F.col("lo.percentile_ranking").alias("min_percentile"),

@@ -98,3 +98,22 @@ def test_balances_have_no_row_per_customer_and_day(views001):
         assert 1 <= sum("o_totalprice" in r for r in read) <= scans, key
         assert all("o_totalprice" in r or r == "o_orderdate:timestamp_ntz" or r == "o_orderdate:timestamp" for r in read), (key, read)
         assert "1 days" not in final and "interval 1 day" not in final.lower(), key
+
+
+# keys whose view was read once for the rows and once more for a count
+ONE_SCAN = ["interests_in_all_months", "rows_removed_below_threshold", "unique_interests_per_month",
+            "top_bottom_composition", "lowest_avg_ranking", "most_volatile_interests", "volatile_extremes",
+            "top10_avg_composition_per_month", "top10_appearances", "avg_of_top10_per_month", "rolling_max_composition",
+            "product_penetration"]
+
+
+def test_sales_are_scanned_once(views001):
+    import re
+    scans = {}
+    for key in ONE_SCAN:
+        df = QUERIES[key](views001)
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        # a stage that is used again (ReusedExchange) prints its plan again with the same column ids
+        scans[key] = len(set(re.findall(r"FileScan parquet [^\n]*lineitem", final)))
+    assert scans == dict.fromkeys(ONE_SCAN, 1)
