@@ -3,14 +3,17 @@
 1. Every whole text becomes its set of five-word shingles.  Texts with equal sets are
    copies of one another and go on as one set, so a text that a third of all rows
    share is one row from here on.
-2. Sets that agree in a band of MinHash values are candidates.  A band's bucket only
-   gives edges to its least set, never all pairs; the components of these edges hold
-   every pair of sets that share a bucket.
-3. Within a component, all pairs are compared in square blocks: the MinHash values
-   come in steps of ``STEP``; after each, pairs whose posterior probability of reaching
-   the threshold (uniform prior) is below ``TOLERANCE`` are dropped; the rest is
-   verified exactly on the shingle sets.  A task gives back link counts and a spanning
-   forest of its links, not the pairs.  Each pair lies in one block, so counts add up.
+2. Sets that agree in a band of MinHash values share a bucket; buckets with the same sets
+   are one.  Sets are compared within their buckets (large ones in pairs of blocks) by the
+   low byte of each MinHash value, in steps of ``STEP``: after each step a pair whose
+   posterior probability of reaching the threshold (uniform prior) is below ``TOLERANCE``
+   is dropped.  Low bytes agree where the values do, so no pair goes that the values would
+   keep.  A task gives back a spanning forest of the pairs left, never the pairs; sets that
+   the forest joins already are not compared again.  The components of the forests hold
+   every pair left, and chains through shared boilerplate end where likeness does.
+3. Within a component, all pairs are compared in square blocks, by whole values with the
+   same steps; the rest is verified exactly on the shingle sets.  A task gives back link
+   counts and a spanning forest of its links.  Each pair lies in one block, so counts add up.
 4. The components of the verified links are the classes.
 
 A set that is similar to another at 0.8 shares none of 32 bands of 4 values with a
@@ -41,6 +44,8 @@ THRESHOLD = 0.8
 HASHES, BAND, STEP = 128, 4, 32
 TOLERANCE = 1e-6
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
+#: sets of one bucket that a task holds are two times as many at most
+BUCKET_SETS, CHUNK = 4096, 512
 
 
 def needed(threshold: float, tolerance: float, step: int = STEP, hashes: int = HASHES) -> list[tuple[int, int]]:
@@ -59,43 +64,60 @@ def needed(threshold: float, tolerance: float, step: int = STEP, hashes: int = H
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, a hash of the text as it stands (h), digest of the shingle set, its size and MinHash
-    values; one row per document."""
+    """doc_id, a hash of the text as it stands (h), digest of the shingle set, its size, MinHash
+    values and the low bytes of these; one row per document."""
     mul, add = S.seeds(HASHES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = (S.shingles(t.as_py()) for t in b.column("text"))
-            rows = [(hashlib.md5(s.tobytes()).digest(), len(s), S.minhash(s, mul, add).tobytes())
-                    if len(s) else (None, 0, None) for s in sets]
-            yield pa.record_batch([b.column("doc_id"), b.column("h"), *(pa.array([r[i] for r in rows], t) for i, t in
-                                                                        enumerate((pa.binary(), pa.int64(), pa.binary())))],
-                                  names=["doc_id", "h", "digest", "n", "signature"])
+            rows = []
+            for s in sets:
+                values = S.minhash(s, mul, add) if len(s) else None
+                rows.append((hashlib.md5(s.tobytes()).digest(), len(s), values.tobytes(), values.astype(np.uint8).tobytes())
+                            if len(s) else (None, 0, None, None))
+            types = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.record_batch([b.column("doc_id"), b.column("h"),
+                                   *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))],
+                                  names=["doc_id", "h", "digest", "n", "signature", "low"])
 
     text = docs["text"].cast("string")
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    return own.mapInArrow(run, "doc_id long, h long, digest binary, n long, signature binary")
+    return own.mapInArrow(run, "doc_id long, h long, digest binary, n long, signature binary, low binary")
 
 
 def distinct_sets(sketched: DataFrame) -> DataFrame:
-    """set_id, digest, n, signature, rep_id (least doc_id), copies: one row per distinct set."""
+    """set_id, digest, n, signature, low, rep_id (least doc_id), copies: one row per distinct set."""
     return (sketched.filter(F.col("digest").isNotNull()).groupBy("digest")
-            .agg(F.first("n").alias("n"), F.first("signature").alias("signature"),
+            .agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("low").alias("low"),
                  F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies"),
                  F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).getField("h").alias("rep_h"))
             .withColumn("set_id", F.monotonically_increasing_id()))
 
 
-def candidate_edges(sets: DataFrame) -> DataFrame:
-    """(u, v): each set with the least set of each of its buckets."""
+def buckets(sets: DataFrame) -> DataFrame:
+    """(key, set_id, blocks): the members of every bucket of two sets or more, each different one once."""
     width = BAND * 4
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * width, width))
                      for b in range(HASHES // BAND)])
     keyed = sets.select("set_id", F.explode(keys).alias("key"))
-    least = (keyed.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
-             .filter("least != most"))
-    return (keyed.join(least, "key").filter("set_id != least")
-            .select(F.col("set_id").alias("u"), F.col("least").alias("v")).distinct())
+    of = [F.bit_xor(F.xxhash64(F.lit(k), "set_id")).alias(f"x{k}") for k in (0, 1)]
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("set_id").alias("least"), *of).filter("m > 1")
+    each = shared.groupBy("m", "least", "x0", "x1").agg(F.min("key").alias("key"))
+    return keyed.join(each.select("key", F.ceil(F.col("m") / BUCKET_SETS).cast("int").alias("blocks")), "key")
+
+
+def candidate_edges(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(u, v): spanning forests of the pairs in a bucket that no Bayesian step drops."""
+    rows = buckets(sets).join(sets.select("set_id", "low"), "set_id")
+    block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
+    # a bucket of several blocks goes through pairs of different blocks, which hold the pairs within one too
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
+        F.array_except(F.sequence(F.lit(0), F.col("blocks") - 1), F.array("block")))
+    dealt = rows.withColumn("block", block).withColumn("other", F.explode(others)).select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set_id", "low")
+    return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(_joined(threshold), "u long, v long").distinct())
 
 
 class _Block:
@@ -169,6 +191,57 @@ class _Block:
         return [(x, n, root(x)) for x, n in count.items()]
 
 
+def _forest(block: _Block, low: np.ndarray) -> list[tuple[int, int]]:
+    """(member, first) for the sets that pairs left by the Bayesian steps join, by row.
+
+    One set goes over the others; those it is left with are in its group and not compared among
+    themselves, only with those outside, until nothing is outside."""
+    group, rest = np.arange(len(low)), np.arange(len(low))
+    while len(rest) > 1:
+        front, rest = rest[:1], rest[1:]
+        while len(front) and len(rest):
+            met = np.zeros(len(rest), bool)
+            for x in range(0, len(front), CHUNK):
+                for y in range(0, len(rest), CHUNK):
+                    open_ = np.flatnonzero(~met[y : y + CHUNK]) + y
+                    if len(open_):
+                        met[open_[block.alive(low[front[x : x + CHUNK]], low[rest[open_]])[1]]] = True
+            group[rest[met]] = group[front[0]]
+            front, rest = rest[met], rest[~met]
+    return [(i, int(g)) for i, g in enumerate(group) if i != g]
+
+
+def _joined(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block(threshold)
+        key, ids, low, edges = None, [], [], []
+
+        def close() -> None:
+            if len(ids) > 1:
+                found = _forest(block, np.frombuffer(b"".join(low), np.uint8).reshape(len(ids), HASHES))
+                edges.extend((ids[i], ids[g]) for i, g in found)
+
+        def given() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*edges, strict=True)], names=["u", "v"])
+
+        for batch in batches:
+            columns = (batch.column(k) for k in ("key", "i", "j", "set_id", "low"))
+            for *now, set_id, bytes_ in zip(*(c.to_pylist() for c in columns), strict=True):
+                if now != key:
+                    close()
+                    key, ids, low = now, [], []
+                ids.append(set_id)
+                low.append(bytes_)
+            if len(edges) >= 1 << 14:
+                yield given()
+                edges.clear()
+        close()
+        if edges:
+            yield given()
+
+    return run
+
+
 def _compare(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, key, a, b = _Block(threshold), None, {}, {}
@@ -201,26 +274,26 @@ def _with_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
             sets = [S.shingles(t.as_py()).tobytes() for t in b.column("text")]
             own = pa.array([hashlib.md5(s).digest() == d.as_py() for s, d in zip(sets, b.column("digest"), strict=True)],
                            pa.bool_())
-            yield pa.record_batch([*(b.column(k) for k in ("set_id", "comp", "signature")), pa.array(sets, pa.binary())],
-                                  names=["set_id", "comp", "signature", "shingles"]).filter(own)
+            yield pa.record_batch([*(b.column(k) for k in ("set_id", "comp", "blocks", "signature")), pa.array(sets, pa.binary())],
+                                  names=["set_id", "comp", "blocks", "signature", "shingles"]).filter(own)
 
     own = docs.select(docs["doc_id"].cast("long").alias("_doc_id"), docs["text"].cast("string").alias("text"))
     own = own.withColumn("_h", F.xxhash64("text"))
     return (members.join(own, members["rep_id"].eqNullSafe(own["_doc_id"]) & (members["rep_h"] == own["_h"]))
-            .select("set_id", "comp", "signature", "digest", "text")
-            .mapInArrow(run, "set_id long, comp long, signature binary, shingles binary"))
+            .select("set_id", "comp", "blocks", "signature", "digest", "text")
+            .mapInArrow(run, "set_id long, comp long, blocks int, signature binary, shingles binary"))
 
 
 def links(docs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(set_id, links, root): the verified links of each block, as counts and a spanning forest."""
-    comps = materialize(components(candidate_edges(sets)), "candidates")
+    comps = materialize(components(candidate_edges(sets, threshold)), "candidates")
     sizes = comps.join(sets.select(F.col("set_id").alias("node"), "n"), "node").groupBy("comp").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = (comps.join(sizes, "comp").join(sets.select(F.col("set_id").alias("node"), "digest", "signature", "rep_id", "rep_h"),
-                                             "node")
-               .withColumnRenamed("node", "set_id"))
-    whole = materialize(_with_shingles(docs, members.select("set_id", "comp", "signature", "digest", "rep_id", "rep_h")), "members")
-    dealt = (whole.join(sizes, "comp")
+    # ids alone move by component; what is large moves by set, document and block
+    members = comps.join(sizes, "comp").withColumnRenamed("node", "set_id").join(
+        sets.select("set_id", "digest", "signature", "rep_id", "rep_h"), "set_id")
+    whole = materialize(_with_shingles(docs, members), "members")
+    dealt = (whole
              .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),

@@ -96,6 +96,40 @@ def test_near_duplicates_in_several_blocks(spark, monkeypatch):
     assert got == plain_classes(rows)
 
 
+def test_near_duplicates_in_buckets_of_several_blocks(spark, monkeypatch):
+    rows = near_copies(spark)
+    monkeypatch.setattr(near_duplicates, "BUCKET_SETS", 3)
+    monkeypatch.setattr(near_duplicates, "CHUNK", 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near_duplicates.classes(docs).collect()}
+    assert got == plain_classes(rows)
+
+
+def test_chained_boilerplate_makes_no_component(spark):
+    """Texts that share a third of their words with the next ones meet in buckets, but are not compared as one group."""
+    rng = np.random.default_rng(8)
+    parts = [" ".join(f"p{k}x{i}" for i in range(40)) for k in range(302)]
+    rows = [(k, " ".join(parts[k : k + 3])) for k in range(300)]
+    rows += [(1000 + k, f"{rows[k][1]} w{rng.integers(1000)}") for k in range(0, 300, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = near_duplicates.materialize(near_duplicates.distinct_sets(near_duplicates.sketches(docs)), "sets")
+    met = near_duplicates.buckets(sets).select("set_id").distinct().count()
+    sizes = [r["count"] for r in near_duplicates.components(near_duplicates.candidate_edges(sets)).groupBy("comp").count().collect()]
+    assert met > 250 and max(sizes) <= 8 and sum(n * n for n in sizes) < 1000
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near_duplicates.classes(docs).collect()}
+    assert got == plain_classes(rows)
+
+
+def test_near_duplicates_of_rows_without_ids(spark):
+    """A third of the rows has no id: texts are found by id and hash, and no row is lost or doubled."""
+    rows = near_copies(spark)
+    rows = [(None if i % 3 == 0 else i, t) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.classes(docs).collect()
+    plain = plain_classes([(k, t) for k, (_, t) in enumerate(rows)])
+    assert sorted(r["n_links"] for r in got) == sorted(n for _, n in plain.values())
+
+
 def test_near_duplicates_of_odd_rows(odd, odd_rows, none):
     want = plain_classes([(r[0], r[1]) for r in odd_rows])
     got = near_duplicates.classes(odd).collect()
