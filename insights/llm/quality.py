@@ -1,6 +1,6 @@
 """Quality by perplexity under a Kneser-Ney model of trusted text.
 
-Documents and labels are dealt by a hash of doc_id over blocks.  A task goes through
+Documents and labels are dealt by a hash of doc_id over blocks (by one of the text where it is null).  A task goes through
 the texts of its block and gives the distinct character n-grams of the block with
 their counts in trusted texts (label quality 1, not toxic).  Those tables are summed
 over all blocks; joins sharded by n-gram give each a probability
@@ -82,8 +82,10 @@ class Slots:
         return out
 
 
-def _block(doc_id: int | None, blocks: int) -> int:
-    return zlib.crc32(str(doc_id).encode()) % blocks
+def _block(doc_id: int | None, text: str | None, blocks: int) -> int:
+    """By id, where a label finds it; documents without an id have none and are dealt by their text."""
+    of = str(doc_id).encode() if doc_id is not None else (text or "").encode("utf-8", "surrogatepass")
+    return zlib.crc32(of) % blocks
 
 
 def _packed(blocks: int):
@@ -107,7 +109,7 @@ def _packed(blocks: int):
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                k = _block(row[0], blocks)
+                k = _block(row[0], row[2], blocks)
                 held.setdefault(k, []).append(row)
                 size[k] = size.get(k, 0) + len(row[2] or "")
                 if size[k] >= PACK_CHARS:
@@ -123,7 +125,7 @@ def _trusted_rows(blocks: int):
         for b in batches:
             n, ids = b.num_rows, b.column("doc_id")
             yield pa.record_batch([
-                pa.array([_block(i, blocks) for i in ids.to_pylist()], pa.int32()), pa.array([TRUSTED] * n, pa.int32()),
+                pa.array([_block(i, None, blocks) for i in ids.to_pylist()], pa.int32()), pa.array([TRUSTED] * n, pa.int32()),
                 ids, pa.array([None] * n, pa.float64()), pa.array([None] * n, pa.binary())],
                 names=["block", "kind", "gram", "p", "payload"])
     return run
@@ -240,7 +242,7 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     dealt = own.mapInArrow(_packed(blocks), ROW).unionByName(trusted.distinct().mapInArrow(_trusted_rows(blocks), ROW))
 
     def by_block(rows: DataFrame) -> DataFrame:
-        return rows.repartition(blocks, "block").sortWithinPartitions("block", "kind")
+        return rows.repartitionById(blocks, "block").sortWithinPartitions("block", "kind")  # a block a task
 
     found = materialize(by_block(dealt).mapInArrow(_counted, "block int, gram long, c long"), "grams")
     total = materialize(found.groupBy("gram").agg(F.sum("c").alias("c")), "counts")

@@ -77,3 +77,17 @@ def test_slots_find_every_key():
     keys = np.unique(np.random.default_rng(2).integers(0, 1 << 48, 200_000))
     slots = quality.Slots(keys)
     assert (slots.find(keys) == np.arange(len(keys))).all() and (slots.find(keys[:9] + (1 << 50)) == -1).all()
+
+
+def test_blocks_take_rows_without_ids_apart():
+    dealt = [quality._block(None, f"text {i}", 16) for i in range(2000)]
+    assert max(Counter(dealt).values()) < 250 and len(set(dealt)) == 16
+    assert quality._block(5, "a", 16) == quality._block(5, None, 16) and quality._block(None, None, 16) == quality._block(None, "", 16)
+
+
+def test_more_blocks_give_the_same_perplexities(docs001, spark, monkeypatch):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    one = {r["doc_id"]: r["perplexity"] for r in quality.perplexities(docs001, labels).collect()}
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 1 << 15)
+    many = {r["doc_id"]: r["perplexity"] for r in quality.perplexities(docs001, labels).collect()}
+    assert one == pytest.approx(many, rel=1e-9)
