@@ -40,6 +40,53 @@ def test_any_text_encodes_as_the_whole_text(text):
         assert np.frombuffer(tokens.encoder(name).encode([text])[0], tokens.ID).tolist() + [0] == plain_ids(name, [text], 0)[0]
 
 
+class Counting:
+    """A tokenizer that counts the strings it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_new_words_go_to_the_tokenizer_in_runs(name):
+    import os
+
+    import public_tokenizers
+
+    enc = tokens.Encoder(public_tokenizers.path(name), name == tokens.BYTE_BPE)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    words = [f"{a}{b}é{c}" for a in "qxzw" for b in "aeioukpt" for c in "lmnrsvbdfg"]
+    texts = ["one " + " ".join(words), "two " + " ".join(f"{w}$$$" for w in words)]
+    enc.tokenizer = Counting(enc.tokenizer)
+    got = [np.frombuffer(x, tokens.ID).tolist() for x in enc.encode(texts, 2)]
+    assert got == plain_ids(name, texts, 2)
+    assert enc.tokenizer.given < len(words) // 10
+    before = enc.tokenizer.given
+    enc.encode(texts[::-1], 2)
+    assert enc.tokenizer.given == before
+
+
+def test_words_in_use_are_kept(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 20)
+    asked = []
+    kept = tokens.Kept(lambda words: [asked.append(w) or w.encode() for w in words])
+    for i in range(30):
+        words = ["common", *(f"w{i}x{k}" for k in range(5)), "common"]
+        assert kept(words) == [w.encode() for w in words]
+        assert len(kept.newer) + len(kept.older) <= 40
+    assert asked.count("common") == 1 and len(asked) == 151
+
+
+def test_signs_that_normalising_makes_go_with_those_behind():
+    texts = ["\u0958. x", "a\u095e!! \u0915\u093c. \u09dc", "\u1100\u1161. \u0130."]
+    got = tokens.encoder(tokens.WORD_BPE).encode(texts, 0)
+    assert [np.frombuffer(x, tokens.ID).tolist() for x in got] == plain_ids(tokens.WORD_BPE, texts, 0)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=1500), st.sampled_from([0.5, 0.9, 0.95, 1.0]))
 def test_blocks_round_trip(ids, percentile):
